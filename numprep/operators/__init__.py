@@ -1,0 +1,41 @@
+"""Table-level operators: shaping, profiling, comparison and resource telemetry."""
+
+from numprep.operators.compare import diff_rows, diff_summary, round_trip
+from numprep.operators.profile import profile
+from numprep.operators.shape import align, conform, restrict
+from numprep.operators.telemetry import (
+    advise,
+    analyze,
+    counter_rate,
+    level,
+    phase_bounds,
+    phase_durations,
+    rescale_time,
+    share,
+    speed_up,
+    split_by_phase,
+    summarize,
+    timing_table,
+)
+
+__all__ = [
+    "advise",
+    "align",
+    "analyze",
+    "conform",
+    "counter_rate",
+    "diff_rows",
+    "diff_summary",
+    "level",
+    "phase_bounds",
+    "phase_durations",
+    "profile",
+    "rescale_time",
+    "restrict",
+    "round_trip",
+    "share",
+    "speed_up",
+    "split_by_phase",
+    "summarize",
+    "timing_table",
+]
