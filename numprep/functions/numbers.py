@@ -79,26 +79,29 @@ def round_places(number: Column, places: int | None) -> Column:
 
 
 def number_text(number: Column, places: int | None = None) -> Column:
-    """Shortest decimal text of a double, in the form Python prints: ``12.0``, ``0.5``, ``1e+16``.
+    """Decimal text of a double, in the form Python prints: ``12.0``, ``0.5``, ``1e+16``.
 
-    ``places`` is the number of decimals the value was rounded to. Zero is written without a sign.
+    ``places`` is the number of decimals the value was rounded to. Zero is written without a sign. Numbers of
+    up to 15 digits are written as they are. The text of longer ones is read back as the same double, but JVMs
+    before 19 may write one digit more than it takes.
     """
     size = F.abs(number)
-    jvm_text = (number + F.lit(0.0)).cast("string")
     scale = _WIDEST_SCALE if places is None else min(max(places, 1), _WIDEST_SCALE)
     tiny = places is None or places > 3  # else no value but zero is below 0.001
-    # The JVM writes this range without exponent. With known decimals the text is taken only if it has no
-    # more than those: up to 15 digits in all, hence the one shortest form.
-    as_is = size < 1e7
+    # The JVM writes this range without exponent. No two numbers of up to 15 digits are the same double, so
+    # a text that short is the shortest.
+    jvm_text = (number + F.lit(0.0)).cast("string")
+    as_is = (size < 1e7) & (F.length(jvm_text) <= 16)
+    # Of longer texts, 15 digits are kept if they give the same double. Only rare values come this far.
+    digits = F.call_function("format_number", number, F.lit("0." + "#" * 14 + "E0"))
+    shorter = F.when(digits.try_cast("double") == number, digits).otherwise(jvm_text)
+    plain, exponent = size < 1e16, F.regexp_replace(shorter, r"(\.0)?E(\d)", "e+$2")
     if tiny:
         as_is = ((size >= 1e-3) | (size == 0)) & as_is
-    if places is not None:
-        as_is = as_is & (F.length(jvm_text) - F.instr(jvm_text, ".") <= scale)
-    plain = (size >= 1e-4) & (size < 1e16) if tiny else size < 1e16
-    plain_text = F.call_function("format_number", number, F.lit("0.0" + "#" * (scale - 1)))
-    exponent = F.regexp_replace(jvm_text, r"(\.0)?E(\d)", "e+$2")
-    if tiny:
+        plain = (size >= 1e-4) & plain
         exponent = F.regexp_replace(F.regexp_replace(exponent, r"(\.0)?E-", "e-"), r"e-(\d)$", "e-0$1")
+    exact = number if places is not None and places <= 8 else shorter.try_cast(f"decimal(38,{scale})")
+    plain_text = F.call_function("format_number", exact, F.lit("0.0" + "#" * (scale - 1)))
     return F.when(as_is, jvm_text).when(plain, plain_text).otherwise(exponent)
 
 

@@ -25,7 +25,7 @@ def profile(
     fitted = isinstance(config, FittedModel)
     specs = list(config.columns) if fitted else load_specs(config)
     types = _types_of(df, specs)
-    prepared, measures, rows = [F.lit(len(df.columns)).alias("width")], [F.count("*").alias("rows")], []
+    prepared, measures, rows = [], [F.count("*").alias("rows")], []
     for i, spec in enumerate(specs):
         name = spec.column_name if fitted else spec.column
         low, high = (spec.min_val, spec.max_val) if fitted else (spec.fixed_min, spec.fixed_max)

@@ -214,7 +214,7 @@ def _join_small(many: DataFrame, few: DataFrame, keys: list[str], how: str, boun
     if bound.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return many.join(F.broadcast(few), keys, how)
     salt = F.pmod(F.xxhash64(*[quoted(name) for name in many.columns]), F.lit(_SALTS))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).cast("bigint")
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint")))
     salted = many.withColumn("__salt", salt)
     return salted.join(few.withColumn("__salt", salts), [*keys, "__salt"], how).drop("__salt")
 

@@ -87,5 +87,5 @@ def rows_for_bytes(target: Column | int, columns: int = len(COLUMNS)) -> Column
 def dataset_gib(rows: Column | int, columns: int = len(COLUMNS)) -> Column | float:
     """Estimated size of that many rows."""
     if isinstance(rows, Column):
-        return rows * F.lit(columns * BYTES_PER_VALUE) / F.lit(2.0**30)
+        return rows * F.lit(float(columns * BYTES_PER_VALUE)) / F.lit(2.0**30)
     return rows * columns * BYTES_PER_VALUE / 2**30
