@@ -2,6 +2,7 @@
 
 from numprep.functions.numbers import (
     bare_text,
+    compiled_apart,
     is_number_text,
     number_text,
     parse_number,
@@ -13,6 +14,7 @@ from numprep.functions.ranges import clip, outside
 __all__ = [
     "bare_text",
     "clip",
+    "compiled_apart",
     "is_number_text",
     "number_text",
     "outside",

@@ -116,7 +116,7 @@ def write_number(
     if isinstance(data_type, T.StringType):
         text = number_text(number, places)
         affixed = [F.lit(prefix)] * bool(prefix) + [text] + [F.lit(suffix)] * bool(suffix)
-        return compiled_apart(F.concat(*affixed) if len(affixed) > 1 else text)
+        return F.concat(*affixed) if len(affixed) > 1 else text
     if isinstance(data_type, T.DoubleType):
         return number
     return number.try_cast(data_type.simpleString())

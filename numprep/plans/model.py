@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from numprep.functions import (
     clip,
+    compiled_apart,
     is_number_text,
     outside,
     parse_number,
@@ -154,10 +155,10 @@ class FittedColumn:
 
 def _checked(value: Column, broken: Column | None, message: str) -> Column:
     if broken is None:
-        return F.struct(value.alias(DATA), F.lit(True).alias(VALID), F.lit("").alias(ERROR))
+        return F.struct(compiled_apart(value).alias(DATA), F.lit(True).alias(VALID), F.lit("").alias(ERROR))
     broken = F.coalesce(broken, F.lit(False))
     return F.struct(
-        F.when(~broken, value).alias(DATA),
+        compiled_apart(F.when(~broken, value)).alias(DATA),
         (~broken).alias(VALID),
         F.when(broken, F.lit(message)).otherwise(F.lit("")).alias(ERROR),
     )
@@ -228,7 +229,7 @@ class FittedModel:
             settled.append(fitted.settle(F.col(number)).alias(work))
             value = fitted.write(F.col(work))
             if not cases:
-                outputs[name] = [value.alias(name)]
+                outputs[name] = [compiled_apart(value).alias(name)]
                 if flags:
                     outputs[name] += [F.lit(True).alias(f"{name}_{VALID}"), F.lit("").alias(f"{name}_{ERROR}")]
                 continue
@@ -237,7 +238,7 @@ class FittedModel:
                 found = found.when(*_case(case))
             settled.append(found.alias(problem))
             ok = F.col(problem).isNull()
-            outputs[name] = [F.when(ok, value).alias(name)]
+            outputs[name] = [compiled_apart(F.when(ok, value)).alias(name)]
             if flags:
                 outputs[name] += [
                     ok.alias(f"{name}_{VALID}"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from numprep.functions import round_places, write_number
+from numprep.functions import compiled_apart, round_places, write_number
 
 COLUMNS = ("day_of_month", "height", "account_balance", "net_profit", "customer_ratings", "leaderboard_rank")
 
@@ -64,7 +64,7 @@ def generate_columns(ids: DataFrame, id_column: str, seed: int = 0) -> DataFrame
         "customer_ratings": ("", "stars"),
     }
     written = {
-        name: write_number(F.col(name), T.StringType(), *affix, places=2).alias(name)
+        name: compiled_apart(write_number(F.col(name), T.StringType(), *affix, places=2)).alias(name)
         for name, affix in affixes.items()
     }
     return df.select(F.col(id_column), *[written.get(name, F.col(name)) for name in COLUMNS])
