@@ -343,6 +343,27 @@ def params_reload(spark: SparkSession, folder: str) -> DataFrame:
     return stored[0].merge(stored[1]).transform(df)
 
 
+@query(f"""
+select count(*) as rows, count(s) as transformed, count(s) filter (s >= 0) as restored,
+  count(*) filter (s is null or s >= 0) as valid
+from (select ({_BRAND_SQL} - 5 - r.lo) / r.sc as s from part, ({range_of(_BRAND_SQL, "part")}) r)
+""")
+def stored_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored parameters applied both ways to shifted values, and the results counted in one pass."""
+    df = table(spark, folder, "part").select("p_brand")
+    path = scratch_path(spark, "params")
+    fit(df, [ColumnSpec("p_brand", prefix="Brand#", rounding=0, reject=True)]).save(spark, path)
+    model = FittedModel.load(spark, path)
+    lower = F.concat(F.lit("Brand#"), F.expr("substring(p_brand, 7)").cast("int") - 5)
+    scaled = model.transform(df.select(lower.alias("p_brand"))).withColumn("scaled", F.col("p_brand"))
+    return model.inverse_transform(scaled, flags=True).agg(
+        F.count("*").alias("rows"),
+        F.count("scaled").alias("transformed"),
+        F.count("p_brand").alias("restored"),
+        F.count_if("p_brand_valid").alias("valid"),
+    )
+
+
 @query(f"""
 with converted as (select c_custkey, c_acctbal, greatest(c_acctbal, 100.0) as v from customer),
 scaled as (select c_custkey, v, (v - r.lo) / r.sc as s, r.lo, r.sc, r.hi from converted, ({range_of("v", "converted")}) r),

@@ -25,11 +25,13 @@ ADVICE_CPU = "Consider increasing Spark parallelism to better utilize CPU"
 ADVICE_MEMORY = "Consider increasing driver/executor memory or optimizing memory usage"
 ADVICE_STAGES = "Some Spark stages failed - check logs for errors"
 
-ROWS_PER_CHUNK = 2_000_000
+ROWS_PER_CHUNK = 1_000_000
 _MAX_CHUNKS = 10_000
 
-# Tables up to this many rows of a few short columns go to every task; larger ones are joined by shuffle.
+# Tables of a few numbers per key go to every task up to this many rows and bytes of keys; larger ones are
+# joined by shuffle.
 BROADCAST_ROWS = 100_000
+_BROADCAST_KEY_BYTES = 16 * MIB
 _SALTS = 32
 
 
@@ -63,41 +65,49 @@ def counter_rate(
     chunk is handed to the next one, so the cuts do not show in the result.
     """
     tick, per_second = _ticks(samples, time)
-    values = [quoted(counter).cast("double") for counter in counters]
-    sample = F.struct(tick.alias("tick"), *[value.alias(f"c{i}") for i, value in enumerate(values)])
-    order = [F.col("__sample.tick").asc_nulls_first(), quoted(sample_id)]
-    df = samples.withColumn("__sample", sample)
+    sample = {"__tick": tick}
+    sample |= {f"__c{i}": quoted(counter).cast("double") for i, counter in enumerate(counters)}
     chunks = max(math.ceil(samples.count() / rows_per_chunk), 1)
     if chunks == 1:
-        ordered = Window.partitionBy(quoted(source)).orderBy(*order)
-        df = df.withColumn("__before", F.lag("__sample").over(ordered))
+        ordered = Window.partitionBy(quoted(source)).orderBy(tick.asc_nulls_first(), quoted(sample_id))
+        before = {name: F.lag(value).over(ordered) for name, value in sample.items()}
+        df = samples.withColumns({f"{name}_before": value for name, value in before.items()})
     else:
-        df = _before_across_chunks(df, source, sample_id, order, min(chunks, _MAX_CHUNKS))
-    now, before = F.col("__sample"), F.col("__before")
-    seconds = F.nullif((now["tick"] - before["tick"]) / F.lit(per_second), F.lit(0.0))
-    rates = [(now[f"c{i}"] - before[f"c{i}"]) / seconds / F.lit(float(unit)) for i in range(len(counters))]
+        df = _with_sample_before(samples, source, sample_id, sample, min(chunks, _MAX_CHUNKS))
+    seconds = F.nullif((tick - F.col("__tick_before")) / F.lit(per_second), F.lit(0.0))
+    rates = [(sample[c] - F.col(f"{c}_before")) / seconds / F.lit(float(unit)) for c in sample if c != "__tick"]
     total = rates[0]
     for rate in rates[1:]:
         total = total + rate
-    return df.withColumn(name, total).drop("__sample", "__before")
+    return df.select(*[quoted(column) for column in samples.columns], total.alias(name))
 
 
-def _before_across_chunks(
-    df: DataFrame, source: str, sample_id: str, order: Sequence[Column], chunks: int
+def _with_sample_before(
+    samples: DataFrame, source: str, sample_id: str, sample: Mapping[str, Column], chunks: int
 ) -> DataFrame:
-    df = _with_chunk(df, F.col("__sample.tick"), quoted(sample_id), chunks)
+    df = _with_chunk(samples, sample["__tick"], quoted(sample_id), chunks)
     # NULL is a source like any other, but would not match itself in the join below.
-    df = df.withColumn("__source", F.coalesce(quoted(source).cast("string"), F.lit("")))
-    df = df.withColumn("__unnamed", quoted(source).isNull())
-    whose = ["__source", "__unnamed"]
-    ordered = Window.partitionBy(*whose, "__chunk").orderBy(*order)
-    df = df.withColumn("__before", F.lag("__sample").over(ordered))
-    last = df.withColumn("__after", F.lead(F.lit(1)).over(ordered)).where(F.col("__after").isNull())
-    # One row per source and chunk from here on.
+    whose = {"__source": F.coalesce(quoted(source).cast("string"), F.lit("")), "__unnamed": quoted(source).isNull()}
+    df = df.withColumns(whose)
+    # The last sample of each source and chunk: one row per task, source and chunk is shuffled.
+    values = F.struct(*[value.alias(name) for name, value in sample.items()]).alias("sample")
+    last = F.max(F.struct(sample["__tick"].alias("tick"), quoted(sample_id).alias("id"), values))
     by_chunk = Window.partitionBy(*whose).orderBy("__chunk")
-    handed = last.select(*whose, "__chunk", F.lag("__sample").over(by_chunk).alias("__handed"))
+    handed = (
+        df.groupBy(*whose, "__chunk")
+        .agg(last.alias("last"))
+        .select(*whose, "__chunk", F.lag("last.sample").over(by_chunk).alias("__handed"))
+    )
+    ordered = Window.partitionBy(*whose, "__chunk").orderBy(sample["__tick"].asc_nulls_first(), quoted(sample_id))
+    before = {f"{name}_before": F.lag(value).over(ordered) for name, value in sample.items()}
+    df = df.withColumns({**before, "__first": F.lag(F.lit(False), 1, True).over(ordered)})
     df = df.join(handed, [*whose, "__chunk"], "left")
-    return df.withColumn("__before", F.coalesce("__before", "__handed")).drop(*whose, "__chunk", "__handed")
+    return df.withColumns(
+        {
+            f"{name}_before": F.when(F.col("__first"), F.col(f"__handed.{name}")).otherwise(F.col(f"{name}_before"))
+            for name in sample
+        }
+    )
 
 
 def _with_chunk(df: DataFrame, tick: Column, sample_id: Column, chunks: int) -> DataFrame:
@@ -107,17 +117,17 @@ def _with_chunk(df: DataFrame, tick: Column, sample_id: Column, chunks: int) ->
     source's part of it no more. A tick that is a quantile twice over holds more than that, and its samples
     are cut by quantiles of their ids.
     """
-    df = df.withColumn("__tick", tick.cast("double")).withColumn("__id", sample_id.cast("double"))
-    ticks = _quantiles(df, "__tick", chunks)
+    df = df.withColumn("__time", tick.cast("double")).withColumn("__id", sample_id.cast("double"))
+    ticks = _quantiles(df, "__time", chunks)
     crowded = sorted({tick for tick, following in zip(ticks, ticks[1:]) if tick == following})
-    df = _bucket(df, "__tick", sorted(set(ticks)), "__chunk")
+    df = _bucket(df, "__time", sorted(set(ticks)), "__chunk")
     if crowded:
-        ids = sorted(set(_quantiles(df.where(F.col("__tick").isin(crowded)), "__id", chunks)))
+        ids = sorted(set(_quantiles(df.where(F.col("__time").isin(crowded)), "__id", chunks)))
         df = _bucket(df, "__id", ids, "__part")
         # A crowded tick opens its chunk, so the chunk's later samples come after all its parts.
-        part = F.when(F.col("__tick").isin(crowded), F.col("__part")).otherwise(F.lit(len(ids) + 1))
+        part = F.when(F.col("__time").isin(crowded), F.col("__part")).otherwise(F.lit(len(ids) + 1))
         df = df.withColumn("__chunk", F.col("__chunk") * F.lit(len(ids) + 2) + part).drop("__part")
-    return df.drop("__tick", "__id")
+    return df.withColumn("__chunk", F.col("__chunk").cast("bigint")).drop("__time", "__id")
 
 
 def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
@@ -208,10 +218,13 @@ def rescale_time(
 def _join_small(many: DataFrame, few: DataFrame, keys: list[str], how: str, bound: DataFrame) -> DataFrame:
     """Join a table with few rows per key. ``bound`` has at least as many rows as ``few`` and is cheaper to count.
 
-    Within the row limit ``few`` is sent to all tasks and ``many`` is not moved. Beyond it both are shuffled,
+    Within the size limits ``few`` is sent to all tasks and ``many`` is not moved. Beyond it both are shuffled,
     with the rows of a key spread over several tasks.
     """
-    if bound.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    key_bytes = [F.coalesce(F.octet_length(quoted(key).cast("string")), F.lit(0)) for key in keys]
+    sizes = [F.count("*").alias("rows"), F.coalesce(F.sum(sum(key_bytes, F.lit(0))), F.lit(0)).alias("bytes")]
+    size = bound.limit(BROADCAST_ROWS + 1).agg(*sizes).first()
+    if size["rows"] <= BROADCAST_ROWS and size["bytes"] <= _BROADCAST_KEY_BYTES:
         return many.join(F.broadcast(few), keys, how)
     salt = F.pmod(F.xxhash64(*[quoted(name) for name in many.columns]), F.lit(_SALTS))
     salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint")))
