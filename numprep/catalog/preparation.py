@@ -9,7 +9,8 @@ from numprep.catalog.registry import query, range_of, table
 from numprep.functions import number_text, round_places
 from numprep.operators import profile, round_trip
 from numprep.plans import ColumnSpec, FittedModel, fit
-from numprep.sources import scratch_path
+from numprep.sources import read_table, scratch_path
+from numprep.streaming import scale_new_files
 
 # What DuckDB needs to read number text the same way.
 NUMBER_SQL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -71,6 +72,20 @@ def transform_clip_lower(spark: SparkSession, folder: str) -> DataFrame:
     return fit(df, BALANCE).transform(df)
 
 
+@query(f"""
+select c_custkey, (greatest(c_acctbal, 0.0) - r.lo) / r.sc as c_acctbal
+from customer, ({range_of("greatest(c_acctbal, 0.0)", "customer")}) r
+""")
+def transform_arriving_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored parameters applied to files as they arrive."""
+    df = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    scratch = scratch_path(spark, "arriving")
+    source = f"{folder}/customer.parquet*"  # file or folder, but to a stream always a pattern
+    stream = scale_new_files(spark, fit(df, BALANCE), source, df.schema, f"{scratch}/scaled", f"{scratch}/done")
+    stream.awaitTermination()
+    return read_table(spark, f"{scratch}/scaled")
+
+
 @query(f"""
 select o_orderkey, (case when o_totalprice * 2 < r.lo then r.lo when o_totalprice * 2 > r.hi then r.hi
   else o_totalprice * 2 end - r.lo) / r.sc as clipped, (o_totalprice * 2 - r.lo) / r.sc as unclipped

@@ -209,7 +209,7 @@ class FittedModel:
         """Replace every fitted column by its value in original units, type and text form.
 
         ``flags`` adds ``<c>_valid`` and ``<c>_error`` behind each. Invalid values are NULL. A value beyond
-        [0, 1] is reported before one beyond the bounds.
+        [0, 1] is reported before one beyond the bounds, and an error ``transform`` has flagged before both.
         """
         types = _types_of(df, self.columns)
         # Each step's result is used several times by the next. As columns of their own they are computed once.
@@ -220,12 +220,15 @@ class FittedModel:
             number, work, problem = f"__number_{i}", f"__settled_{i}", f"__problem_{i}"
             numbers.append(fitted.unscale(source).alias(number))
             cases = []
+            if flags and f"{name}_{VALID}" in types and f"{name}_{ERROR}" in types:
+                earlier = quoted(f"{name}_{ERROR}")
+                cases.append((earlier != "", earlier))
             rejected = fitted.rejected(source)
             if rejected is not None:
-                cases.append((rejected, REJECTED))
+                cases.append((rejected, F.lit(REJECTED)))
             beyond = fitted.out_of_range(F.col(number))
             if beyond is not None:
-                cases.append((beyond, OUT_OF_RANGE))
+                cases.append((beyond, F.lit(OUT_OF_RANGE)))
             settled.append(fitted.settle(F.col(number)).alias(work))
             value = fitted.write(F.col(work))
             if not cases:
@@ -233,9 +236,9 @@ class FittedModel:
                 if flags:
                     outputs[name] += [F.lit(True).alias(f"{name}_{VALID}"), F.lit("").alias(f"{name}_{ERROR}")]
                 continue
-            found = F.when(*_case(cases[0]))
+            found = F.when(*cases[0])
             for case in cases[1:]:
-                found = found.when(*_case(case))
+                found = found.when(*case)
             settled.append(found.alias(problem))
             ok = F.col(problem).isNull()
             outputs[name] = [compiled_apart(F.when(ok, value)).alias(name)]
@@ -278,15 +281,15 @@ class FittedModel:
         return model
 
 
-def _case(case: tuple[Column, str]) -> tuple[Column, Column]:
-    condition, message = case
-    return condition, F.lit(message)
-
-
 def _in_place(df: DataFrame, outputs: Mapping[str, list[Column]]) -> list[Column]:
+    """The table's columns, with the outputs of a column where it was. New flags take the place of old ones."""
+    flags = {f"{name}_{flag}" for name, columns in outputs.items() if len(columns) > 1 for flag in (VALID, ERROR)}
     selected = []
     for name in df.columns:
-        selected += outputs.get(name, [quoted(name)])
+        if name in outputs:
+            selected += outputs[name]
+        elif name not in flags:
+            selected.append(quoted(name))
     return selected
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from numprep.plans.model import FittedModel
-from numprep.sources.scratch import scratch_path
 
 
 def scale_new_files(
@@ -20,19 +19,19 @@ def scale_new_files(
     source: str,
     schema: T.StructType,
     target: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     inverse: bool = False,
 ) -> StreamingQuery:
     """Transform (or restore) all Parquet files not handled before, append them to ``target``, and stop.
 
-    ``checkpoint`` records which files are done and has to be the same folder from run to run, on storage the
-    whole cluster reaches. Without one, this run starts from the beginning, in the cluster's scratch folder.
+    ``checkpoint`` records which files are done. It has to be the same folder from run to run, on storage the
+    whole cluster reaches.
     """
     rows = spark.readStream.schema(schema).parquet(source)
     scaled = model.inverse_transform(rows) if inverse else model.transform(rows)
     return (
         scaled.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "scale-checkpoint"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)
     )

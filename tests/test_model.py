@@ -113,6 +113,20 @@ def test_bad_text(spark):
     assert _column(fit(good, specs, on_error="raise").transform(good, on_error="raise")) == [0.0, None, 1.0]
 
 
+def test_flags_of_both_ways_are_merged(spark):
+    df = _frame(spark, ["$1", "$abc", "$3", None], "string")
+    model = fit(df, [ColumnSpec("c", prefix="$", max_val=2, clip_oor=False)])
+    back = model.inverse_transform(model.transform(df, flags=True), flags=True)
+    assert back.columns == ["c", "c_valid", "c_error"]
+    assert _triples(back) == [
+        ("$1.0", True, ""),
+        (None, False, "parse error"),
+        (None, False, "Out of range"),
+        (None, True, ""),
+    ]
+    assert model.transform(model.transform(df, flags=True).withColumn("c", F.lit("$3")), flags=True).columns == back.columns
+
+
 @pytest.mark.parametrize("values", [[], [None, None]])
 @pytest.mark.parametrize("ddl", ["string", "bigint", "double"])
 def test_no_values(spark, values, ddl):
