@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from numprep.catalog.registry import query, table
-from numprep.functions import round_places
+from numprep.functions import round_places, ticks
 from numprep.operators import (
     analyze,
     counter_rate,
@@ -80,13 +80,15 @@ def phases_in_sequence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Time since the start of the month, tripled so that it covers three phases in sequence.
-_OFFSET_SQL = "(epoch_us(ts) - 1704067200000000) / 1e6::double * 3"
+_MONTH_START = 1_704_067_200_000_000  # 2024-01-01
+_OFFSET_SQL = f"(epoch_us(ts) - {_MONTH_START}) / 1e6::double * 3"
 
 
 def _timed(spark: SparkSession, folder: str) -> DataFrame:
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = F.timestamp_diff("MICROSECOND", start, F.col("ts")) / 1e6 * 3
-    return table(spark, folder, "events").select("event_id", "user_id", "event_type", seconds.alias("moment"), "value")
+    events = table(spark, folder, "events")
+    micros, per_second = ticks(F.col("ts"), events.schema["ts"].dataType)
+    moment = (micros - _MONTH_START) / per_second * 3
+    return events.select("event_id", "user_id", "event_type", moment.alias("moment"), "value")
 
 
 @query(f"""

@@ -10,6 +10,7 @@ from numprep.functions.numbers import (
     write_number,
 )
 from numprep.functions.ranges import clip, outside
+from numprep.functions.times import seconds, ticks
 
 __all__ = [
     "bare_text",
@@ -20,5 +21,7 @@ __all__ = [
     "outside",
     "parse_number",
     "round_places",
+    "seconds",
+    "ticks",
     "write_number",
 ]

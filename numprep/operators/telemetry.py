@@ -11,9 +11,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from numprep.functions import seconds, ticks
 from numprep.plans.model import quoted
 
 MIB = 2**20
@@ -36,14 +36,7 @@ _SALTS = 32
 
 
 def _ticks(df: DataFrame, time: str) -> tuple[Column, float]:
-    """Time as a sortable number, and how many of its units make a second."""
-    data_type = df.schema[time].dataType
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(quoted(time)), 1e6
-    if isinstance(data_type, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", epoch, quoted(time)), 1e6
-    return quoted(time).cast("double"), 1.0
+    return ticks(quoted(time), df.schema[time].dataType)
 
 
 def counter_rate(
@@ -74,8 +67,8 @@ def counter_rate(
         df = samples.withColumns({f"{name}_before": value for name, value in before.items()})
     else:
         df = _with_sample_before(samples, source, sample_id, sample, min(chunks, _MAX_CHUNKS))
-    seconds = F.nullif((tick - F.col("__tick_before")) / F.lit(per_second), F.lit(0.0))
-    rates = [(sample[c] - F.col(f"{c}_before")) / seconds / F.lit(float(unit)) for c in sample if c != "__tick"]
+    elapsed = F.nullif(seconds(tick - F.col("__tick_before"), per_second), F.lit(0.0))
+    rates = [(sample[c] - F.col(f"{c}_before")) / elapsed / F.lit(float(unit)) for c in sample if c != "__tick"]
     total = rates[0]
     for rate in rates[1:]:
         total = total + rate
@@ -155,22 +148,22 @@ def phase_durations(samples: DataFrame, source: str, phase: str, time: str) -> D
         samples.select(quoted(source).alias(source), quoted(phase).alias(phase), tick.alias("tick"))
         .groupBy(quoted(source), quoted(phase))
         .agg(
-            (F.min("tick") / F.lit(per_second)).alias("start"),
-            (F.max("tick") / F.lit(per_second)).alias("end"),
-            ((F.max("tick") - F.min("tick")) / F.lit(per_second)).alias("duration"),
+            seconds(F.min("tick"), per_second).alias("start"),
+            seconds(F.max("tick"), per_second).alias("end"),
+            seconds(F.max("tick") - F.min("tick"), per_second).alias("duration"),
         )
     )
 
 
 def phase_bounds(
-    durations: DataFrame, source: str, phase: str, seconds: str, phases: Sequence[str]
+    durations: DataFrame, source: str, phase: str, duration: str, phases: Sequence[str]
 ) -> DataFrame:
     """Where each phase starts and ends if the named ``phases`` follow one another from 0, per source.
 
     The durations of a source become one row, and the running sum is plain arithmetic on it.
     """
     lengths = [
-        F.coalesce(F.sum(F.when(quoted(phase) == name, quoted(seconds))), F.lit(0.0)).alias(f"length{i}")
+        F.coalesce(F.sum(F.when(quoted(phase) == name, quoted(duration))), F.lit(0.0)).alias(f"length{i}")
         for i, name in enumerate(phases)
     ]
     bounds, start = [], F.lit(0.0)
@@ -189,7 +182,7 @@ def split_by_phase(samples: DataFrame, bounds: DataFrame, source: str, time: str
     timestamps). Samples outside all phases are left out.
     """
     tick, per_second = _ticks(samples, time)
-    timed = samples.withColumn("__at", tick / F.lit(per_second))
+    timed = samples.withColumn("__at", seconds(tick, per_second))
     wanted = bounds.select(
         quoted(source), quoted(phase).alias(phase), F.col("start").alias("__start"), F.col("end").alias("__end")
     )
@@ -199,14 +192,14 @@ def split_by_phase(samples: DataFrame, bounds: DataFrame, source: str, time: str
 
 
 def rescale_time(
-    samples: DataFrame, durations: DataFrame, source: str, phase: str, time: str, seconds: str = "duration"
+    samples: DataFrame, durations: DataFrame, source: str, phase: str, time: str, duration: str = "duration"
 ) -> DataFrame:
     """Add ``rescaled``: time stretched so that a phase's last sample is at the phase's duration.
 
     NULL for phases without a positive duration and phases whose last sample is not after 0.
     """
     keys = [source, phase]
-    known = durations.select(*[quoted(key) for key in keys], quoted(seconds).alias("__seconds"))
+    known = durations.select(*[quoted(key) for key in keys], quoted(duration).alias("__seconds"))
     last = samples.groupBy(*[quoted(key) for key in keys]).agg(F.max(quoted(time)).alias("__last"))
     factors = _join_small(last, known, keys, "inner", known)
     joined = _join_small(samples, factors, keys, "left", known)
@@ -247,7 +240,7 @@ def summarize(
     measures = [F.count("*").alias("samples")]
     if time is not None:
         tick, per_second = _ticks(samples, time)
-        measures.append(((F.max(tick) - F.min(tick)) / F.lit(per_second)).alias("seconds"))
+        measures.append(seconds(F.max(tick) - F.min(tick), per_second).alias("seconds"))
     for name in (*levels, *rates):
         measures += [F.avg(quoted(name)).alias(f"{name}_avg"), F.max(quoted(name)).alias(f"{name}_max")]
         if name in levels:
@@ -326,10 +319,10 @@ def analyze(samples: DataFrame, by: Sequence[str], cpu: str, memory: str, counts
 
 
 def timing_table(
-    timings: DataFrame, operation: str, engine: str, seconds: str, engines: Sequence[str]
+    timings: DataFrame, operation: str, engine: str, duration: str, engines: Sequence[str]
 ) -> DataFrame:
     """Seconds by operation and engine, and a ``total`` row. Totals are made from the per-operation sums."""
-    sums = [F.sum(F.when(quoted(engine) == name, quoted(seconds))).alias(f"t{i}") for i, name in enumerate(engines)]
+    sums = [F.sum(F.when(quoted(engine) == name, quoted(duration))).alias(f"t{i}") for i, name in enumerate(engines)]
     by_operation = timings.groupBy(quoted(operation).alias("operation")).agg(*sums)
     return (
         by_operation.rollup("operation")

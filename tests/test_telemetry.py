@@ -99,6 +99,20 @@ def test_rate_over_timestamps(spark, kind):
     assert [r.rate for r in rates] == [None, 2.0]
 
 
+def test_rate_without_zone_ignores_the_clock_change(spark):
+    df = spark.sql(
+        "select * from values (1, 's', timestamp_ntz'2024-03-10 01:59:59', 0.0), (2, 's', timestamp_ntz'2024-03-10 02:00:01', 4.0),"
+        " (3, 's', timestamp_ntz'2024-03-10 03:00:01', 3604.0) as t(id, s, ts, c)"
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rates = counter_rate(df, "s", "ts", "id", ["c"], unit=1.0).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.rate for r in rates] == [None, 2.0, 1.0]
+
+
 def _bounds(spark):
     durations = spark.createDataFrame(
         [("r1", "inverse", 3.0), ("r1", "fit", 10.0), ("r1", "transform", 2.0), ("r2", "fit", 1.0)],
