@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from numprep.catalog.registry import query, table
 from numprep.operators import diff_rows, diff_summary
 
-# The second table: some prices and statuses changed, some rows gone, new or doubled.
+# The second table: some prices and statuses changed, some keys moved, and expensive orders doubled.
 _CHANGED_SQL = """changed as (
-  select case when o_orderkey % 11 = 3 then -1 - o_orderkey else o_orderkey end as o_orderkey,
-    case when o_orderkey % 5 = 0 then o_totalprice + o_custkey / 8.0::double when o_orderkey % 7 = 2 then null
+  select case when o_orderpriority = '5-LOW' and o_orderstatus = 'P' then -1 - o_orderkey else o_orderkey end
+      as o_orderkey,
+    case o_orderpriority when '1-URGENT' then o_totalprice + o_custkey / 8.0::double when '2-HIGH' then null
       else o_totalprice + 5e-7 end as o_totalprice,
-    case when o_orderkey % 9 = 4 then null when o_orderkey % 9 = 5 then 'X' else o_orderstatus end as o_orderstatus
+    case o_orderpriority when '3-MEDIUM' then null when '4-NOT SPECIFIED' then 'X' else o_orderstatus end
+      as o_orderstatus
   from orders
-  union all select o_orderkey, o_totalprice, o_orderstatus from orders where o_orderkey % 101 = 0)"""
+  union all select o_orderkey, o_totalprice, o_orderstatus from orders where o_totalprice > 450000)"""
 _MATCHED_SQL = """once as (select o_orderkey from changed group by o_orderkey having count(*) = 1),
 matched as (
   select a.o_orderkey, a.o_totalprice as ln, b.o_totalprice as rn, a.o_orderstatus as lt, b.o_orderstatus as rt
@@ -23,20 +25,24 @@ matched as (
 
 
 def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    key = F.col("o_orderkey")
-    changed = table(spark, folder, "orders").select(
-        F.when(key % 11 == 3, -1 - key).otherwise(key).alias("o_orderkey"),
-        F.when(key % 5 == 0, F.col("o_totalprice") + F.col("o_custkey") / 8.0)
-        .when(key % 7 == 2, F.lit(None))
-        .otherwise(F.col("o_totalprice") + 5e-7)
+    df = table(spark, folder, "orders")
+    orders = df.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    key, price, status, priority = (
+        F.col(name) for name in ("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    )
+    moved = (priority == "5-LOW") & (status == "P")
+    changed = df.select(
+        F.when(moved, -1 - key).otherwise(key).alias("o_orderkey"),
+        F.when(priority == "1-URGENT", price + F.col("o_custkey") / 8.0)
+        .when(priority == "2-HIGH", F.lit(None))
+        .otherwise(price + 5e-7)
         .alias("o_totalprice"),
-        F.when(key % 9 == 4, F.lit(None))
-        .when(key % 9 == 5, F.lit("X"))
-        .otherwise(F.col("o_orderstatus"))
+        F.when(priority == "3-MEDIUM", F.lit(None))
+        .when(priority == "4-NOT SPECIFIED", F.lit("X"))
+        .otherwise(status)
         .alias("o_orderstatus"),
     )
-    return orders, changed.unionByName(orders.where(key % 101 == 0))
+    return orders, changed.unionByName(orders.where(price > 450_000))
 
 
 _KEYS_SQL = """keys as (

@@ -363,7 +363,7 @@ select count(*) as rows, count(s) as transformed, count(s) filter (s >= 0) as re
   count(*) filter (s is null or s >= 0) as valid
 from (select ({_BRAND_SQL} - 5 - r.lo) / r.sc as s from part, ({range_of(_BRAND_SQL, "part")}) r)
 """)
-def stored_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+def stored_params_both_ways(spark: SparkSession, folder: str) -> DataFrame:
     """Stored parameters applied both ways to shifted values, and the results counted in one pass."""
     df = table(spark, folder, "part").select("p_brand")
     path = scratch_path(spark, "params")

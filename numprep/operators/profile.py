@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from numprep.functions import parse_number
 from numprep.operators.shape import one_row_per
-from numprep.plans.model import FittedModel, _types_of, quoted
+from numprep.plans.model import FittedModel, column_types, quoted
 from numprep.plans.spec import ColumnSpec, load_specs
 
 
@@ -24,7 +24,7 @@ def profile(
     """
     fitted = isinstance(config, FittedModel)
     specs = list(config.columns) if fitted else load_specs(config)
-    types = _types_of(df, specs)
+    types = column_types(df, specs)
     prepared, measures, rows = [], [F.count("*").alias("rows")], []
     for i, spec in enumerate(specs):
         name = spec.column_name if fitted else spec.column

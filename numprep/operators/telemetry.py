@@ -32,7 +32,8 @@ _MAX_CHUNKS = 10_000
 # joined by shuffle.
 BROADCAST_ROWS = 100_000
 _BROADCAST_KEY_BYTES = 16 * MIB
-_SALTS = 32
+HOT_KEYS = 1000
+_SALTS = 200
 
 
 def _ticks(df: DataFrame, time: str) -> tuple[Column, float]:
@@ -211,18 +212,29 @@ def rescale_time(
 def _join_small(many: DataFrame, few: DataFrame, keys: list[str], how: str, bound: DataFrame) -> DataFrame:
     """Join a table with few rows per key. ``bound`` has at least as many rows as ``few`` and is cheaper to count.
 
-    Within the size limits ``few`` is sent to all tasks and ``many`` is not moved. Beyond it both are shuffled,
-    with the rows of a key spread over several tasks.
+    Within the size limits ``few`` is sent to all tasks and ``many`` is not moved. Beyond them both are shuffled,
+    with the rows of hot keys spread over several tasks.
     """
     key_bytes = [F.coalesce(F.octet_length(quoted(key).cast("string")), F.lit(0)) for key in keys]
     sizes = [F.count("*").alias("rows"), F.coalesce(F.sum(sum(key_bytes, F.lit(0))), F.lit(0)).alias("bytes")]
     size = bound.limit(BROADCAST_ROWS + 1).agg(*sizes).first()
     if size["rows"] <= BROADCAST_ROWS and size["bytes"] <= _BROADCAST_KEY_BYTES:
         return many.join(F.broadcast(few), keys, how)
-    salt = F.pmod(F.xxhash64(*[quoted(name) for name in many.columns]), F.lit(_SALTS))
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint")))
-    salted = many.withColumn("__salt", salt)
-    return salted.join(few.withColumn("__salt", salts), [*keys, "__salt"], how).drop("__salt")
+    # Keys with more than a thousandth of the rows each; so there are less than a thousand of them.
+    counted = many.groupBy(*[quoted(key) for key in keys]).agg(F.count("*").alias("__rows"))
+    hot = counted.where(F.col("__rows") > F.lit(many.count() / HOT_KEYS)).withColumn("__hot", F.lit(True))
+    hot = F.broadcast(hot.drop("__rows"))
+    any_salt = F.pmod(F.xxhash64(*[quoted(name) for name in many.columns]), F.lit(_SALTS))
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | quoted(key).isNull()  # matches nothing, so it may go anywhere
+    salted = many.join(hot, keys, "left").withColumn(
+        "__salt", F.when(F.col("__hot") | no_key, any_salt).otherwise(F.lit(0).cast("bigint"))
+    )
+    zero, last = (F.lit(salt).cast("bigint") for salt in (0, _SALTS - 1))
+    salts = F.when(F.col("__hot"), F.sequence(zero, last)).otherwise(F.array(zero))
+    copies = few.join(hot, keys, "left").withColumn("__salt", F.explode(salts))
+    return salted.drop("__hot").join(copies.drop("__hot"), [*keys, "__salt"], how).drop("__salt")
 
 
 def summarize(

@@ -183,7 +183,7 @@ class FittedModel:
         ``on_error="raise"`` fails the query.
         """
         _check_on_error(on_error)
-        types = _types_of(df, self.columns)
+        types = column_types(df, self.columns)
         # The parsed number is used several times below. As a column of its own it is computed once.
         parsed, outputs = [], {}
         for i, fitted in enumerate(self.columns):
@@ -211,7 +211,7 @@ class FittedModel:
         ``flags`` adds ``<c>_valid`` and ``<c>_error`` behind each. Invalid values are NULL. A value beyond
         [0, 1] is reported before one beyond the bounds, and an error ``transform`` has flagged before both.
         """
-        types = _types_of(df, self.columns)
+        types = column_types(df, self.columns)
         # Each step's result is used several times by the next. As columns of their own they are computed once.
         numbers, settled, outputs = [], [], {}
         for i, fitted in enumerate(self.columns):
@@ -293,7 +293,8 @@ def _in_place(df: DataFrame, outputs: Mapping[str, list[Column]]) -> list[Column
     return selected
 
 
-def _types_of(df: DataFrame, wanted: Iterable) -> dict[str, T.DataType]:
+def column_types(df: DataFrame, wanted: Iterable[ColumnSpec | FittedColumn]) -> dict[str, T.DataType]:
+    """Types of all columns, after a check that the wanted ones are text or numbers."""
     types = {field.name: field.dataType for field in df.schema.fields}
     for item in wanted:
         name = item.column_name if isinstance(item, FittedColumn) else item.column
@@ -324,7 +325,7 @@ def fit(
     specs = load_specs(config, columns)
     if not specs:
         raise ValueError("no columns to fit")
-    types = _types_of(df, specs)
+    types = column_types(df, specs)
     parsed, measures = [], []
     for i, spec in enumerate(specs):
         source, data_type = quoted(spec.column), types[spec.column]

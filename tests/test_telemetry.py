@@ -133,10 +133,11 @@ def test_phases_follow_one_another(spark):
     ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_border_samples_are_in_both_phases(spark, monkeypatch, broadcast_rows):
-    """Joined by broadcast, and by salted shuffle as a large bounds table is."""
+@pytest.mark.parametrize(("broadcast_rows", "hot_keys"), [(100_000, 1000), (0, 1000), (0, 2), (0, 1)])
+def test_border_samples_are_in_both_phases(spark, monkeypatch, broadcast_rows, hot_keys):
+    """Joined by broadcast, and by shuffle as a large bounds table is, with all, some and no keys salted."""
     monkeypatch.setattr(telemetry, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(telemetry, "HOT_KEYS", hot_keys)
     samples = spark.createDataFrame(
         [("r1", 0.0), ("r1", 10.0), ("r1", 11.0), ("r1", 15.5), ("r2", 0.5), ("r3", 0.5)], "run string, ts double"
     )
@@ -151,11 +152,12 @@ def test_border_samples_are_in_both_phases(spark, monkeypatch, broadcast_rows):
     ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_rescaled_time(spark, monkeypatch, broadcast_rows):
+@pytest.mark.parametrize(("broadcast_rows", "hot_keys"), [(100_000, 1000), (0, 1000), (0, 2), (0, 1)])
+def test_rescaled_time(spark, monkeypatch, broadcast_rows, hot_keys):
     monkeypatch.setattr(telemetry, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(telemetry, "HOT_KEYS", hot_keys)
     samples = spark.createDataFrame(
-        [("r", "fit", 1.0), ("r", "fit", 4.0), ("r", "other", 2.0), ("r", "early", -1.0), ("r", "zero", 3.0)],
+        [("r", "fit", 1.0), ("r", "fit", 4.0), ("r", "other", 2.0), ("r", "early", -1.0), ("r", "zero", 3.0), (None, None, 9.0)],
         "run string, phase string, ts double",
     )
     durations = spark.createDataFrame(
@@ -168,6 +170,7 @@ def test_rescaled_time(spark, monkeypatch, broadcast_rows):
         ("other", 2.0): None,
         ("early", -1.0): None,
         ("zero", 3.0): None,
+        (None, 9.0): None,
     }
 
 
