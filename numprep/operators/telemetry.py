@@ -27,6 +27,7 @@ ADVICE_STAGES = "Some Spark stages failed - check logs for errors"
 
 ROWS_PER_CHUNK = 1_000_000
 _MAX_CHUNKS = 10_000
+_LOOKS_PER_CHUNK = 200  # rows looked at to place a cut; where exactly it falls does not matter
 
 # Tables of a few numbers per key go to every task up to this many rows and bytes of keys; larger ones are
 # joined by shuffle.
@@ -61,13 +62,22 @@ def counter_rate(
     tick, per_second = _ticks(samples, time)
     sample = {"__tick": tick}
     sample |= {f"__c{i}": quoted(counter).cast("double") for i, counter in enumerate(counters)}
-    chunks = max(math.ceil(samples.count() / rows_per_chunk), 1)
-    if chunks == 1:
+    # NULL is a source like any other, but would not match itself in a join.
+    whose = {"__source": F.coalesce(quoted(source).cast("string"), F.lit("")), "__unnamed": quoted(source).isNull()}
+    rows = samples.count()
+    limit = max(rows_per_chunk, math.ceil(rows / _MAX_CHUNKS))
+    counted = samples.groupBy(*[key.alias(name) for name, key in whose.items()]).agg(F.count("*").alias("__rows"))
+    large = counted.where(F.col("__rows") > limit)  # no more than _MAX_CHUNKS sources
+    large_rows = large.agg(F.sum("__rows")).first()[0] if rows > limit else None
+    if large_rows is None:
         ordered = Window.partitionBy(quoted(source)).orderBy(tick.asc_nulls_first(), quoted(sample_id))
         before = {name: F.lag(value).over(ordered) for name, value in sample.items()}
         df = samples.withColumns({f"{name}_before": value for name, value in before.items()})
     else:
-        df = _with_sample_before(samples, source, sample_id, sample, min(chunks, _MAX_CHUNKS))
+        large = F.broadcast(large.select(*whose, F.lit(True).alias("__large")))
+        df = samples.withColumns(whose).join(large, list(whose), "left")
+        df = _with_chunk(df, tick, quoted(sample_id), math.ceil(large_rows / limit), large_rows)
+        df = _with_sample_before(df, list(whose), quoted(sample_id), sample)
     elapsed = F.nullif(seconds(tick - F.col("__tick_before"), per_second), F.lit(0.0))
     rates = [(sample[c] - F.col(f"{c}_before")) / elapsed / F.lit(float(unit)) for c in sample if c != "__tick"]
     total = rates[0]
@@ -77,22 +87,19 @@ def counter_rate(
 
 
 def _with_sample_before(
-    samples: DataFrame, source: str, sample_id: str, sample: Mapping[str, Column], chunks: int
+    df: DataFrame, whose: Sequence[str], sample_id: Column, sample: Mapping[str, Column]
 ) -> DataFrame:
-    df = _with_chunk(samples, sample["__tick"], quoted(sample_id), chunks)
-    # NULL is a source like any other, but would not match itself in the join below.
-    whose = {"__source": F.coalesce(quoted(source).cast("string"), F.lit("")), "__unnamed": quoted(source).isNull()}
-    df = df.withColumns(whose)
-    # The last sample of each source and chunk: one row per task, source and chunk is shuffled.
+    # The last sample of each chunk of the large sources: one row per task, source and chunk is shuffled.
     values = F.struct(*[value.alias(name) for name, value in sample.items()]).alias("sample")
-    last = F.max(F.struct(sample["__tick"].alias("tick"), quoted(sample_id).alias("id"), values))
+    last = F.max(F.struct(sample["__tick"].alias("tick"), sample_id.alias("id"), values))
     by_chunk = Window.partitionBy(*whose).orderBy("__chunk")
     handed = (
-        df.groupBy(*whose, "__chunk")
+        df.where("__large")
+        .groupBy(*whose, "__chunk")
         .agg(last.alias("last"))
         .select(*whose, "__chunk", F.lag("last.sample").over(by_chunk).alias("__handed"))
     )
-    ordered = Window.partitionBy(*whose, "__chunk").orderBy(sample["__tick"].asc_nulls_first(), quoted(sample_id))
+    ordered = Window.partitionBy(*whose, "__chunk").orderBy(sample["__tick"].asc_nulls_first(), sample_id)
     before = {f"{name}_before": F.lag(value).over(ordered) for name, value in sample.items()}
     df = df.withColumns({**before, "__first": F.lag(F.lit(False), 1, True).over(ordered)})
     df = df.join(handed, [*whose, "__chunk"], "left")
@@ -104,24 +111,29 @@ def _with_sample_before(
     )
 
 
-def _with_chunk(df: DataFrame, tick: Column, sample_id: Column, chunks: int) -> DataFrame:
-    """Number of the chunk a sample is in, rising with (tick, id).
+def _with_chunk(df: DataFrame, tick: Column, sample_id: Column, chunks: int, rows: int) -> DataFrame:
+    """Number of the chunk a sample of a large source is in, rising with (tick, id). Other sources have one chunk.
 
-    Cuts are quantiles of the ticks over all sources: a chunk holds about 1/chunks of the table, and a
+    Cuts are quantiles of the ticks over all large sources: a chunk holds about 1/chunks of their rows, and a
     source's part of it no more. A tick that is a quantile twice over holds more than that, and its samples
-    are cut by quantiles of their ids.
+    are cut by quantiles of their ids. Quantiles are estimated from a fraction of the rows, so that the task
+    that merges them gets a few million values however large the table is. No row is left out of the result.
     """
     df = df.withColumn("__time", tick.cast("double")).withColumn("__id", sample_id.cast("double"))
-    ticks = _quantiles(df, "__time", chunks)
-    crowded = sorted({tick for tick, following in zip(ticks, ticks[1:]) if tick == following})
-    df = _bucket(df, "__time", sorted(set(ticks)), "__chunk")
+    fraction = chunks * _LOOKS_PER_CHUNK / rows
+    looks = df.where("__large")
+    looks = looks.sample(fraction, seed=0) if fraction < 1 else looks
+    cuts = _quantiles(looks, "__time", chunks)
+    crowded = sorted({cut for cut, following in zip(cuts, cuts[1:]) if cut == following})
+    df = _bucket(df, "__time", sorted(set(cuts)), "__chunk")
     if crowded:
-        ids = sorted(set(_quantiles(df.where(F.col("__time").isin(crowded)), "__id", chunks)))
+        ids = sorted(set(_quantiles(looks.where(F.col("__time").isin(crowded)), "__id", chunks)))
         df = _bucket(df, "__id", ids, "__part")
         # A crowded tick opens its chunk, so the chunk's later samples come after all its parts.
         part = F.when(F.col("__time").isin(crowded), F.col("__part")).otherwise(F.lit(len(ids) + 1))
         df = df.withColumn("__chunk", F.col("__chunk") * F.lit(len(ids) + 2) + part).drop("__part")
-    return df.withColumn("__chunk", F.col("__chunk").cast("bigint")).drop("__time", "__id")
+    chunk = F.when(F.col("__large"), F.col("__chunk")).otherwise(F.lit(0.0)).cast("bigint")
+    return df.withColumn("__chunk", chunk).drop("__time", "__id")
 
 
 def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:

@@ -49,6 +49,8 @@ def _samples(kind):
             source = "a"
         if kind == "hot time" and k % 3:
             source, ts = "a", rng.choice([50.0, 500.0])
+        if kind == "many sources" and k % 3:
+            source = f"s{rng.randint(0, 99)}"
         if kind == "few times":
             ts = float(rng.randint(0, 3))
         if kind == "no time" and k % 4 == 0:
@@ -58,9 +60,10 @@ def _samples(kind):
     return rows
 
 
-@pytest.mark.parametrize("kind", ["even", "hot source", "hot time", "few times", "no time"])
-@pytest.mark.parametrize("rows_per_chunk", [10_000, 40])
-def test_counter_rate(spark, kind, rows_per_chunk):
+@pytest.mark.parametrize("kind", ["even", "hot source", "hot time", "few times", "no time", "many sources"])
+@pytest.mark.parametrize(("rows_per_chunk", "looks"), [(10_000, 200), (40, 200), (40, 5)])
+def test_counter_rate(spark, monkeypatch, kind, rows_per_chunk, looks):
+    monkeypatch.setattr(telemetry, "_LOOKS_PER_CHUNK", looks)
     rows = _samples(kind)
     df = spark.createDataFrame(rows, "id bigint, source string, ts double, a double, b double")
     rates = counter_rate(df, "source", "ts", "id", ["a", "b"], unit=1.0, rows_per_chunk=rows_per_chunk)
@@ -75,7 +78,8 @@ def test_chunks_of_a_hot_source_are_small(spark):
     """All samples of one source, two thirds of them at one time."""
     rows = _samples("hot time")
     df = spark.createDataFrame([(r[0], "a", r[2]) for r in rows], "id bigint, source string, ts double")
-    chunked = telemetry._with_chunk(df, F.col("ts"), F.col("id"), 20)
+    df = df.withColumn("__large", F.lit(True))
+    chunked = telemetry._with_chunk(df, F.col("ts"), F.col("id"), 20, len(rows))
     sizes = [r["count"] for r in chunked.groupBy("source", "__chunk").count().collect()]
     assert sum(sizes) == len(rows) and max(sizes) <= 2 * len(rows) / 20
     ordered = chunked.orderBy("ts", "id").collect()
