@@ -1,0 +1,28 @@
+"""Name to query, and name to SQL, of this package."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name."""
+
+    def register(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
