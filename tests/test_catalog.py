@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from numprep.catalog import ORACLES, QUERIES
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
@@ -32,12 +33,12 @@ def _sorted(rows):
     return sorted([tuple(_plain(v) for v in row) for row in rows], key=lambda row: [(v is None, str(v)) for v in row])
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, duck, name):
-    df = driver.queries()[name](spark, tables)
+    df = QUERIES[name](spark, tables)
     columns = sorted(df.columns)
     got = df.select(*[f"`{c}`" for c in columns]).collect()
-    sql = driver.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert got
         return
@@ -50,7 +51,8 @@ def test_query(spark, tables, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"stored_sizes"}
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(QUERIES) - set(ORACLES) == {"stored_sizes"}
 
 
 def test_entry(spark):
