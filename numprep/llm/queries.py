@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from numprep.llm.common import stored
+from numprep.llm.kd_shards import shard
+from numprep.llm.mixing import measured, mix
 from numprep.llm.registry import ORACLES, QUERIES, query, table
 from numprep.llm.url_filter import judge, rule_table
 
@@ -37,3 +40,46 @@ select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict fro
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return judge(pages, rule_table(spark, URL_RULES)).drop("url")
+
+
+@query()
+def op5_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return shard(documents, ["n_chars", "doc_id", "source", "lang"], shards=16)
+
+
+@query(r"""
+with d as (
+    select doc_id, source, coalesce(text, '') as t,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+        (('0x' || substr(sha256('mix|' || coalesce(doc_id::varchar, '') || '|' || coalesce(text, '')), 1, 13))::bigint
+            + 0.5::double) * pow(2.0, -52) as u,
+        length(regexp_replace(coalesce(text, ''), '[^\p{L}]+', '', 'g'))::double
+            / greatest(length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')), 1) as q
+    from documents),
+k as (select *, -ln(u) / greatest(0.05, q * q * q * q) as draw from d),
+s as (
+    select source, sum(size)::bigint as source_size, row_number() over (order by encode(source) nulls last) - 1 as place
+    from k group by source),
+w as (select *, [3, 1, 2][place % 3 + 1] as weight, 2 * source_size as cap from s),
+c as (
+    select *, coalesce(sum(cap) over before, 0) as capped, sum(weight) over rest as open, (select sum(size) from k) as words
+    from w
+    window before as (order by cap / weight, place rows between unbounded preceding and 1 preceding),
+        rest as (order by cap / weight, place rows between current row and unbounded following)),
+l as (select arg_min((1.5::double * words - capped) / open, cap / weight) as share from c
+    where cap / weight >= (1.5::double * words - capped) / open),
+g as (select source, source_size, least(cap::double, weight * share) as target from w, l),
+e as (
+    select k.doc_id, k.size, g.source_size, g.target,
+        case when g.source_size > 0 then floor(target / g.source_size) else 0 end::bigint as epochs,
+        coalesce(sum(k.size) over (partition by k.source order by draw, doc_id
+            rows between unbounded preceding and 1 preceding), 0) as before
+    from k join g on k.source is not distinct from g.source)
+select doc_id, size, source_size, target, (epochs * size
+    + greatest(0, least(size, round(target)::bigint - epochs * source_size - before)))::bigint as taken from e
+""")
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    narrow = stored(measured(documents, "mix").drop("text"), "mix")
+    return mix(narrow).select("doc_id", "size", "source_size", "target", "taken")
