@@ -10,6 +10,7 @@ from numprep.llm.kd_shards import shard
 from numprep.llm.mixing import measured, mix
 from numprep.llm.registry import ORACLES, QUERIES, query, table
 from numprep.llm.url_filter import judge, rule_table
+from numprep.llm.winnow import report
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -83,3 +84,31 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "source", "text")
     narrow = stored(measured(documents, "mix").drop("text"), "mix")
     return mix(narrow).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(r"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+b as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+v as (
+    select distinct item_id, least(10, len(words)) as size, array_to_string(words[s + 1:s + least(10, len(words))], ' ') as piece
+    from (select *, unnest(range(0, len(words) - least(10, len(words)) + 1)) as s from b where len(words) > 0)),
+z as (select distinct size from v),
+p as (
+    select doc_id, s, size, array_to_string(words[s + 1:s + size], ' ') as piece
+    from (select doc_id, words, size, unnest(range(0, len(words) - size + 1)) as s from d, z where len(words) >= size)),
+o as (select p.doc_id, p.s, p.size, v.item_id from p join v on p.size = v.size and p.piece = v.piece),
+h as (
+    select doc_id, count(distinct w) as n_hit from (select doc_id, unnest(range(s, s + size)) as w from o) group by doc_id),
+i as (
+    select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+    from (select distinct doc_id, item_id::varchar as item from o) group by doc_id)
+select d.doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join h on d.doc_id = h.doc_id left join i on d.doc_id = i.doc_id
+""")
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
