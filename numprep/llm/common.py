@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,17 @@ from pyspark.sql import window as W
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SHARED = "spark.checkpoint.dir"
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they may not see the driver's folder."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        name = f"{tempfile.mkdtemp()}/{package.name}"
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:

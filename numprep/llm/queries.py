@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from numprep.llm.common import stored
+from numprep.llm.common import shared_folder, stored
 from numprep.llm.kd_shards import shard
 from numprep.llm.mixing import measured, mix
 from numprep.llm.registry import ORACLES, QUERIES, query, table
+from numprep.llm.token_count import count_tokens
+from numprep.llm.token_files import read_index, write_tokens
 from numprep.llm.url_filter import judge, rule_table
 from numprep.llm.winnow import report
 
@@ -112,3 +117,15 @@ from d left join h on d.doc_id = h.doc_id left join i on d.doc_id = i.doc_id
 """)
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op3_token_count(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query()
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    write_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return read_index(spark, path)

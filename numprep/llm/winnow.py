@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from numprep.llm import textvec
-from numprep.llm.common import left_by, text_key, text_of
+from numprep.llm.common import left_by, ship, text_key, text_of
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of letters, digits and everything beyond ASCII, after A-Z became a-z.
@@ -79,6 +79,7 @@ def _fingerprints(lengths: list[int]):
 
 
 def _fingerprint_rows(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    ship(df.sparkSession)
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     return df.select(*keys, "_text").mapInArrow(_fingerprints(lengths), f"{kinds}, size int, at int, print long")
 
