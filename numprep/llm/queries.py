@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from numprep.llm.common import shared_folder, stored
 from numprep.llm.kd_shards import shard
+from numprep.llm.line_quality import judge_documents
 from numprep.llm.mixing import measured, mix
 from numprep.llm.registry import ORACLES, QUERIES, query, table
 from numprep.llm.token_count import count_tokens
@@ -129,3 +130,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return read_index(spark, path)
+
+
+@query()
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    verdicts = judge_documents(table(spark, folder, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return verdicts.select("doc_id", *counts, "base_failed", "kept", "words_left")

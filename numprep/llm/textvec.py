@@ -28,6 +28,8 @@ def _random_table(seed: int) -> np.ndarray:
 
 
 _BYTES = _random_table(7)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,14 +114,31 @@ def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_B
     return Words(starts, ends, np.searchsorted(starts, offsets[:-1]), np.searchsorted(starts, offsets[1:]))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range: equal ranges have equal hashes wherever they are."""
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * up[: len(data)], out=total[1:])
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of 64-bit values: equal ranges have equal hashes wherever they are."""
+    up, down = powers(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
     return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range."""
+    return run_hashes(_BYTES[data], starts, ends)
+
+
+def fold(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return _FOLD[data]
+
+
+def counts_within(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many flags are set in each of the neighbouring ranges that ``bounds`` delimits."""
+    total = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` neighbours; runs across texts are for the caller to leave out."""
     n = len(hashes) - size + 1

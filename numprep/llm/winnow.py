@@ -23,8 +23,6 @@ GRAM = 5
 BROADCAST_ROWS = 1_000_000
 
 _BYTES = textvec.classes(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
 
 
 def words_of(text: Column) -> Column:
@@ -50,7 +48,7 @@ def _fingerprints(lengths: list[int]):
         for batch in batches:
             data, offsets = textvec.utf8(batch.column(batch.num_columns - 1))
             for first, last in textvec.slices(offsets):
-                part = _FOLD[data[offsets[first] : offsets[last]]]
+                part = textvec.fold(data[offsets[first] : offsets[last]])
                 words = textvec.find_words(part, offsets[first : last + 1] - offsets[first], _BYTES)
                 hashes = textvec.span_hashes(part, words.starts, words.ends)
                 found = []
