@@ -16,7 +16,7 @@ EPOCHS = 2
 #: Quality weights lie between this and 1, which bounds how far they can crowd the cells of the running total.
 LEAST_QUALITY = 0.05
 #: Rows of a source that are summed in one task, on average at even weights.
-ROWS_PER_CELL = 20_000
+ROWS_PER_CELL = 4_000
 
 
 def words(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from numprep.llm.common import shared_folder, stored
+from numprep.llm.dart_minhash import classes
 from numprep.llm.kd_shards import shard
 from numprep.llm.line_quality import judge_documents
 from numprep.llm.mixing import measured, mix
@@ -137,3 +138,8 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     verdicts = judge_documents(table(spark, folder, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return verdicts.select("doc_id", *counts, "base_failed", "kept", "words_left")
+
+
+@query()
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "kept")
