@@ -14,6 +14,7 @@ from numprep.llm.kd_shards import shard
 from numprep.llm.line_quality import judge_documents
 from numprep.llm.mixing import measured, mix
 from numprep.llm.registry import ORACLES, QUERIES, query, table
+from numprep.llm.suffix_dedup import remove_repeats
 from numprep.llm.token_count import count_tokens
 from numprep.llm.token_files import read_index, write_tokens
 from numprep.llm.url_filter import judge, rule_table
@@ -143,3 +144,9 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query()
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
