@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from numprep.llm.common import shared_folder, stored
 from numprep.llm.dart_minhash import classes
+from numprep.llm.html_extract import extract
 from numprep.llm.kd_shards import shard
 from numprep.llm.line_quality import judge_documents
 from numprep.llm.mixing import measured, mix
@@ -150,3 +151,8 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = remove_repeats(table(spark, folder, "documents"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op2_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
