@@ -81,3 +81,33 @@ qualify row_number() over w <= 10
 """)
 def diff_samples(spark: SparkSession, folder: str) -> DataFrame:
     return diff_rows(*_tables(spark, folder), keys=["o_orderkey"])
+
+
+# Whole numbers and prices that differ only in digits a double does not hold, and infinite ones.
+_WIDE = 2**53
+_EXACT_SQL = f"""pairs as (
+  select o_orderkey, {_WIDE}::bigint + o_orderkey as a, {_WIDE}::bigint + o_orderkey + o_orderkey % 2 as b,
+    o_custkey::decimal(38,9) * 1000000000000 as c, o_custkey::decimal(38,9) * 1000000000000 + 0.000000001 as d,
+    case when o_orderkey % 3 = 0 then 'inf'::double else o_totalprice end as e,
+    case when o_orderkey % 3 = 0 then 'inf'::double else o_totalprice end as f from orders)"""
+
+
+@query(f"""
+with {_EXACT_SQL}
+select 'id' as column_name, 'number' as kind, count(*) as compared, max(b - a)::double as max_abs_diff,
+  count(*) filter (a != b) as mismatches, 0::bigint as null_mismatches, bool_and(a = b) as all_equal from pairs
+union all
+select 'price', 'number', count(*), max(d - c)::double, count(*) filter (d - c > 1e-12), 0, bool_and(c = d) from pairs
+union all
+select 'rate', 'number', count(*), 0.0::double, 0, 0, true from pairs
+""")
+def diff_exact(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_custkey").cast("decimal(20,9)") * F.lit(10**12).cast("decimal(13,0)")
+    rate = F.when(key % 3 == 0, F.lit(float("inf"))).otherwise(F.col("o_totalprice")).alias("rate")
+    wide = key + F.lit(_WIDE)
+    one = orders.select("o_orderkey", wide.alias("id"), price.cast("decimal(36,9)").alias("price"), rate)
+    changed = (price + F.lit("0.000000001").cast("decimal(10,9)")).cast("decimal(36,9)")
+    other = orders.select("o_orderkey", (wide + key % 2).alias("id"), changed.alias("price"), rate)
+    summary = diff_summary(one, other, keys=["o_orderkey"], tolerance=1e-12)
+    return summary.drop("left_only", "right_only", "duplicate_keys")

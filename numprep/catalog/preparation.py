@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ BRAND = {
     "p_brand": {"converter": {"prefix": "Brand#", "rounding": 0}, "normalizer": {"clip": True}},
     "p_size": {"converter": {"min_val": 1, "max_val": 31, "rounding": 0}, "normalizer": {"clip": True}},
 }
+_SETTINGS = Path(__file__).with_name("part.yaml")  # the same in a file
 BALANCE = {"c_acctbal": {"converter": {"min_val": 0, "rounding": 2}, "normalizer": {"clip": True}}}
 PROPS = {"props": {"converter": {"prefix": '{"k": ', "suffix": "}", "rounding": 0}, "normalizer": {"reject": True}}}
 
@@ -37,7 +40,7 @@ union all
 select 'c_acctbal', 'double', 0.0, null, lo, hi, sc from ({range_of("greatest(c_acctbal, 0.0)", "customer")})
 """)
 def fit_params(spark: SparkSession, folder: str) -> DataFrame:
-    parts = fit(table(spark, folder, "part"), BRAND)
+    parts = fit(table(spark, folder, "part"), _SETTINGS)
     customers = fit(table(spark, folder, "customer"), BALANCE)
     return parts.merge(customers).params(spark).select(*_PARAMS)
 
@@ -80,7 +83,7 @@ def transform_arriving_files(spark: SparkSession, folder: str) -> DataFrame:
     """Stored parameters applied to files as they arrive."""
     df = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
     scratch = scratch_path(spark, "arriving")
-    source = f"{folder}/customer.parquet*"  # file or folder, but to a stream always a pattern
+    source = f"{folder}/customer.parque[t]"  # file or folder, but to a stream always a pattern
     stream = scale_new_files(spark, fit(df, BALANCE), source, df.schema, f"{scratch}/scaled", f"{scratch}/done")
     stream.awaitTermination()
     return read_table(spark, f"{scratch}/scaled")
@@ -315,10 +318,34 @@ def empirical_bounds(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("select p_partkey, 0.0::double as scaled, 5 as restored from part")
 def constant_column(spark: SparkSession, folder: str) -> DataFrame:
-    df = table(spark, folder, "part").select("p_partkey", F.lit(5).alias("scaled"))
-    model = fit(df, [ColumnSpec("scaled")])
-    restored = model.inverse_transform(model.transform(df)).withColumnRenamed("scaled", "restored")
-    return model.transform(df).join(restored, "p_partkey")
+    df = table(spark, folder, "part").select("p_partkey", F.lit(5).alias("value"))
+    model = fit(df, [ColumnSpec("value")])
+    scaled = model.transform(df).withColumnRenamed("value", "scaled")
+    restored = model.inverse_transform(scaled.withColumn("value", F.col("scaled")))
+    return restored.withColumnRenamed("value", "restored")
+
+
+_NARROW_SQL = "cast(5 * (p_size - lo) + lo as bigint)"
+
+
+@query(f"""
+select p_partkey, case when {_NARROW_SQL} <= 127 then {_NARROW_SQL} end as tiny, {_NARROW_SQL} <= 127 as tiny_valid,
+  case when {_NARROW_SQL} <= 127 then '' else 'does not fit' end as tiny_error,
+  case when 600 * {_NARROW_SQL} <= 32767 then 600 * {_NARROW_SQL} end as small, 600 * {_NARROW_SQL} <= 32767 as small_valid,
+  case when 600 * {_NARROW_SQL} <= 32767 then '' else 'does not fit' end as small_error
+from part, (select min(p_size) as lo from part)
+""")
+def restore_narrow_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that the column's integer type cannot hold are missing and flagged."""
+    size = F.col("p_size")
+    df = table(spark, folder, "part").select(
+        "p_partkey", size.cast("tinyint").alias("tiny"), (size * 600).cast("smallint").alias("small")
+    )
+    model = fit(df, [ColumnSpec("tiny", rounding=0), ColumnSpec("small", rounding=0)])
+    scaled = model.transform(df)
+    larger = scaled.withColumns({name: F.col(name) * 5 for name in ("tiny", "small")})
+    restored = model.inverse_transform(larger, flags=True)
+    return restored.withColumns({name: F.col(name).cast("long") for name in ("tiny", "small")})
 
 
 @query("""

@@ -15,6 +15,7 @@ from numprep.sources import (
     rows_for_bytes,
     scratch_path,
     stored_bytes,
+    unpack_samples,
     write_table,
 )
 from numprep.sources.generate import COLUMNS, MASK, MULTIPLIER, stream_salt
@@ -51,20 +52,40 @@ def chunk_lengths(spark: SparkSession, folder: str) -> DataFrame:
     return files.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 500).alias("files_too_long"))
 
 
-@query("select s_suppkey, s_name, s_acctbal from supplier")
+_TEXTS_SQL = """
+select event_id, ts, value, props, case doc_id % 4 when 0 then null when 1 then '' when 2 then ' ' || text || ' '
+  else '"' || text || '\\' || chr(13) || chr(10) end as text
+from events left join documents on event_id = doc_id
+"""
+
+
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Times to the microsecond, and texts with blanks, quotes, backslashes and line breaks, empty and missing ones."""
+    events = table(spark, folder, "events").select("event_id", "ts", "value", "props")
+    documents = table(spark, folder, "documents")
+    kind, text = F.col("doc_id") % 4, F.col("text")
+    odd = (
+        F.when(kind == 1, F.lit(""))
+        .when(kind == 2, F.concat(F.lit(" "), text, F.lit(" ")))
+        .when(kind == 3, F.concat(F.lit('"'), text, F.lit("\\\r\n")))
+    )
+    return events.join(documents.select(F.col("doc_id").alias("event_id"), odd.alias("text")), "event_id", "left")
+
+
+def _written(spark: SparkSession, folder: str, file_format: str) -> DataFrame:
+    df, path = _texts(spark, folder), scratch_path(spark, file_format)
+    write_table(df, path, file_format)
+    return read_table(spark, path, file_format, df.schema)
+
+
+@query(_TEXTS_SQL)
 def csv_table(spark: SparkSession, folder: str) -> DataFrame:
-    df = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    path = scratch_path(spark, "csv")
-    write_table(df, path, "csv")
-    return read_table(spark, path, "csv", df.schema)
+    return _written(spark, folder, "csv")
 
 
-@query("select s_suppkey, s_name, s_acctbal from supplier")
+@query(_TEXTS_SQL)
 def json_table(spark: SparkSession, folder: str) -> DataFrame:
-    df = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    path = scratch_path(spark, "json")
-    write_table(df, path, "json")
-    return read_table(spark, path, "json", df.schema)
+    return _written(spark, folder, "json")
 
 
 def _uniforms_sql() -> str:
@@ -112,6 +133,21 @@ def plan_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query("select sum(strlen(c_custkey || '|' || c_name) + 1)::bigint as bytes from customer")
 def stored_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return stored_bytes(spark, folder)
+    """Size of a table written as lines of text."""
+    path = scratch_path(spark, "lines")
+    lines = table(spark, folder, "customer").select(F.concat_ws("|", "c_custkey", "c_name"))
+    write_table(lines, path, "text")
+    return stored_bytes(spark, path, "*.txt").select("bytes")
+
+
+@query("""
+select vec_id, generate_subscripts(embedding, 1) - 1 as sample, unnest(embedding)::double as level,
+  unnest(embedding[1:3] || [null for x in embedding[4:]])::double as part from embeddings
+""")
+def metric_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Parallel lists of a run, of which one is shorter, as rows."""
+    runs = table(spark, folder, "embeddings").withColumn("start", F.slice("embedding", 1, 3))
+    samples = unpack_samples(runs, ["vec_id"], {"level": "embedding", "part": "start"}, position="sample")
+    return samples.select("vec_id", F.col("sample").cast("long").alias("sample"), *[F.col(c).cast("double").alias(c) for c in ("level", "part")])

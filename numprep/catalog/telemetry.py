@@ -13,6 +13,7 @@ from numprep.operators import (
     level,
     phase_bounds,
     phase_durations,
+    phase_seconds,
     rescale_time,
     share,
     speed_up,
@@ -42,11 +43,27 @@ def counter_rates(spark: SparkSession, folder: str) -> DataFrame:
     return rates.select("event_id", "rate")
 
 
-@query(_RATE_SQL)
+# Most users are one source, and the errors of a day are all taken at its start.
+_HOT_SQL = """(select event_id, props, value, case when user_id % 10 > 0 then 0 else user_id end as user_id,
+    case when event_type = 'error' then date_trunc('day', ts) else ts end as ts from events)"""
+
+
+@query(_RATE_SQL.replace("from events)", f"from {_HOT_SQL} e)"))
 def counter_rates_in_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """The same, cut into chunks along time as a large table is."""
-    samples = _samples(spark, folder)
-    rates = counter_rate(samples, "user_id", "ts", "event_id", ["value", "k"], rows_per_chunk=500)
+    """The same with a source that holds most samples, cut into cells of time, and of crowded instants by id."""
+    number = F.expr("substring(props, 7, length(props) - 7)").cast("double")
+    events = table(spark, folder, "events")
+    instant = F.when(F.col("event_type") == "error", F.date_trunc("day", "ts")).otherwise(F.col("ts"))
+    samples = events.select(
+        "event_id",
+        F.when(F.col("user_id") % 10 > 0, 0).otherwise(F.col("user_id")).alias("user_id"),
+        instant.cast(events.schema["ts"].dataType).alias("ts"),
+        "value",
+        number.alias("k"),
+    )
+    rates = counter_rate(
+        samples, "user_id", "ts", "event_id", ["value", "k"], cell_seconds=7200, rows_per_cell=20, id_block=500
+    )
     return rates.select("event_id", "rate")
 
 
@@ -60,13 +77,12 @@ def phase_spans(spark: SparkSession, folder: str) -> DataFrame:
     return phase_durations(table(spark, folder, "events"), "user_id", "event_type", "ts")
 
 
-_PHASES = ("signup", "view", "click")
-_BOUNDS_SQL = f"""select user_id, unnest(['signup', 'view', 'click']) as phase, unnest([0.0, a, a + b]) as start,
-  unnest([a, a + b, a + b + c]) as "end"
-  from (select user_id, coalesce(sum(duration) filter (event_type = 'signup'), 0.0) as a,
-    coalesce(sum(duration) filter (event_type = 'view'), 0.0) as b,
-    coalesce(sum(duration) filter (event_type = 'click'), 0.0) as c
-    from ({_DURATIONS_SQL}) group by user_id)"""
+_PHASES = ("signup", "view", "click", "purchase", "error")
+_LENGTHS_SQL = ", ".join(f"coalesce(sum(duration) filter (event_type = '{p}'), 0.0) as d{i}" for i, p in enumerate(_PHASES))
+_STARTS_SQL = [" + ".join(f"d{j}" for j in range(i)) or "0.0" for i in range(len(_PHASES) + 1)]
+_BOUNDS_SQL = f"""select user_id, unnest({list(_PHASES)}) as phase, unnest([{", ".join(_STARTS_SQL[:-1])}]) as start,
+  unnest([{", ".join(_STARTS_SQL[1:])}]) as "end"
+  from (select user_id, {_LENGTHS_SQL} from ({_DURATIONS_SQL}) group by user_id)"""
 
 
 def _bounds(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,16 +95,16 @@ def phases_in_sequence(spark: SparkSession, folder: str) -> DataFrame:
     return _bounds(spark, folder)
 
 
-# Time since the start of the month, tripled so that it covers three phases in sequence.
+# Time since the start of the month, times five so that it covers five phases in sequence.
 _MONTH_START = 1_704_067_200_000_000  # 2024-01-01
-_OFFSET_SQL = f"(epoch_us(ts) - {_MONTH_START}) / 1e6::double * 3"
+_OFFSET_SQL = f"(epoch_us(ts) - {_MONTH_START}) / 1e6::double * 5"
 
 
-def _timed(spark: SparkSession, folder: str) -> DataFrame:
+def _timed(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     events = table(spark, folder, "events")
     micros, per_second = ticks(F.col("ts"), events.schema["ts"].dataType)
-    moment = (micros - _MONTH_START) / per_second * 3
-    return events.select("event_id", "user_id", "event_type", moment.alias("moment"), "value")
+    moment = (micros - _MONTH_START) / per_second * 5
+    return events.select("event_id", "user_id", "event_type", moment.alias("moment"), "value", *more)
 
 
 @query(f"""
@@ -109,8 +125,8 @@ select t.event_id, t.user_id, t.event_type, t.moment, t.value,
 from timed t left join tops using (user_id, event_type) left join durations using (user_id, event_type)
 """)
 def rescaled_time(spark: SparkSession, folder: str) -> DataFrame:
-    durations = phase_durations(table(spark, folder, "events"), "user_id", "event_type", "ts")
-    return rescale_time(_timed(spark, folder), durations, "user_id", "event_type", "moment")
+    timed = _timed(spark, folder, "ts")
+    return rescale_time(timed, phase_seconds(timed, "ts"), "user_id", "event_type", "moment").drop("ts")
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -155,25 +171,25 @@ def success_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select o_custkey, round_even(sum(o_totalprice) filter (o_orderstatus = 'O')
-  / greatest(sum(o_totalprice) filter (o_orderstatus = 'F'), 1) * 1000000.0, 0) / 1000000.0 as faster
-from orders group by o_custkey having count(*) filter (o_orderstatus = 'O') > 0
-  and count(*) filter (o_orderstatus = 'F') > 0
+select o_custkey, round_even(coalesce(sum(o_totalprice) filter (o_orderstatus = 'O'), 0)
+  / greatest(coalesce(sum(o_totalprice) filter (o_orderstatus = 'F'), 0), 1) * 1000000.0, 0) / 1000000.0 as faster
+from orders group by o_custkey
 """)
 def speed_ups(spark: SparkSession, folder: str) -> DataFrame:
+    """A missing time counts as 0."""
     totals = table(spark, folder, "orders").groupBy("o_custkey")
-    sums = [F.sum(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))).alias(s) for s in ("O", "F")]
+    sums = [F.sum(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice")).otherwise(0.0)).alias(s) for s in ("O", "F")]
     faster = round_places(speed_up(F.col("O"), F.col("F")), 6)
-    return totals.agg(*sums).dropna().select("o_custkey", faster.alias("faster"))
+    return totals.agg(*sums).select("o_custkey", faster.alias("faster"))
 
 
 @query(f"""
 with summary as (
   select user_id, avg(value) as cpu, max(value) as cpu_max, min(value) as cpu_min, avg(k) as memory, max(k) as memory_max,
     min(k) as memory_min, count(*) filter (event_type != 'error') as good, count(*) filter (event_type = 'error') as bad,
-    count(*) filter (event_type = 'view') as used
+    count(*) filter (event_type = 'view') as used, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6::double as total_time
   from (select *, cast(substr(props, 7, length(props) - 7) as double) as k from events) group by user_id)
-select user_id, round_even(cpu * 1000000.0, 0) / 1000000.0 as cpu_avg_usage,
+select user_id, total_time, bad = 0 as success, round_even(cpu * 1000000.0, 0) / 1000000.0 as cpu_avg_usage,
   round_even(memory * 1000000.0, 0) / 1000000.0 as memory_avg_usage, cpu_max as cpu_max_usage,
   memory_max as memory_max_usage, cpu_min as cpu_min_usage, memory_min as memory_min_usage,
   case when cpu > 80 then 'high' when cpu > 50 then 'medium' else 'low' end as cpu_level,
@@ -195,20 +211,25 @@ def metric_analysis(spark: SparkSession, folder: str) -> DataFrame:
         "memory_used": F.count_if(F.col("event_type") == "view"),
         "memory_max": F.count("*"),
     }
-    table_ = analyze(samples, ["user_id"], "value", "k", counts)
+    finished = F.bool_and(F.col("event_type") != "error")
+    table_ = analyze(samples, ["user_id"], "value", "k", counts, phase_seconds(samples, "ts"), finished)
     table_ = _rounded(table_, "cpu_avg_usage", "memory_avg_usage")
     return table_.withColumn("recommendations", F.concat_ws("; ", "recommendations"))
 
 
-@query("""
+_STATUSES = ("O", "F", "P")
+
+
+@query(f"""
 with sums as (
-  select o_orderpriority as operation, sum(o_totalprice) filter (o_orderstatus = 'O') as o,
-    sum(o_totalprice) filter (o_orderstatus = 'F') as f from orders group by o_orderpriority)
-select operation, round_even(coalesce(o, 0.0) * 100.0, 0) / 100.0 as "O_time",
-  round_even(coalesce(f, 0.0) * 100.0, 0) / 100.0 as "F_time" from sums
+  select o_orderpriority as operation, {", ".join(f"sum(o_totalprice) filter (o_orderstatus = '{s}') as {s}" for s in _STATUSES)}
+  from orders group by o_orderpriority)
+select operation, {", ".join(f'round_even(coalesce({s}, 0.0) * 100.0, 0) / 100.0 as "{s}_time"' for s in _STATUSES)} from sums
 union all
-select 'total', round_even(sum(o) * 100.0, 0) / 100.0, round_even(sum(f) * 100.0, 0) / 100.0 from sums
+select 'total', {", ".join(f"round_even(sum({s}) * 100.0, 0) / 100.0" for s in _STATUSES)} from sums
 """)
 def timings(spark: SparkSession, folder: str) -> DataFrame:
-    sums = timing_table(table(spark, folder, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice", ("O", "F"))
-    return sums.select("operation", *[round_places(F.col(f"{s}_time"), 2).alias(f"{s}_time") for s in ("O", "F")])
+    """Every status is an engine; none is left out of the total."""
+    orders = table(spark, folder, "orders")
+    sums = timing_table(orders, "o_orderpriority", "o_orderstatus", "o_totalprice", _STATUSES)
+    return sums.select("operation", *[round_places(F.col(f"{s}_time"), 2).alias(f"{s}_time") for s in _STATUSES])

@@ -10,6 +10,7 @@ from numprep.operators.telemetry import (
     level,
     phase_bounds,
     phase_durations,
+    phase_seconds,
     rescale_time,
     share,
     speed_up,
@@ -29,6 +30,7 @@ __all__ = [
     "level",
     "phase_bounds",
     "phase_durations",
+    "phase_seconds",
     "profile",
     "rescale_time",
     "restrict",

@@ -20,18 +20,45 @@ _SALTS = 64
 _GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def _kinds(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
-    """Whether each column is a number, which both tables have to agree on."""
+def _digits(data_type: T.DataType) -> tuple[int, int] | None:
+    """Digits before and after the point of an exact number type."""
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}.get(type(data_type))
+    if whole is not None:
+        return whole, 0
+    if isinstance(data_type, T.DecimalType):
+        return data_type.precision - data_type.scale, data_type.scale
+    return None
+
+
+def _kinds(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The type each column is compared in. Both tables have to agree on whether it is a number.
+
+    Integers and decimals are compared exactly, as a decimal that holds both sides; other numbers as doubles.
+    """
     kinds = {}
     for name in columns:
-        numeric = {isinstance(df.schema[name].dataType, T.NumericType) for df in (left, right)}
+        types = [df.schema[name].dataType for df in (left, right)]
+        numeric = {isinstance(t, T.NumericType) for t in types}
         if len(numeric) > 1:
             raise ValueError(f"column {name!r} is a number in one table and not in the other")
-        kinds[name] = numeric.pop()
+        if not numeric.pop():
+            kinds[name] = "string"
+            continue
+        digits = [_digits(t) for t in types]
+        if None in digits:
+            kinds[name] = "double"
+            continue
+        whole, scale = (max(x) for x in zip(*digits))
+        kinds[name] = f"decimal({whole + scale},{scale})" if whole + scale <= 38 else "double"
     return kinds
 
 
-def _aligned(left: DataFrame, right: DataFrame, keys: Sequence[str], kinds: dict[str, bool]) -> DataFrame:
+def _difference(left: Column, right: Column) -> Column:
+    """Absolute difference as a double; 0 for equal values, infinite ones included."""
+    return F.when(left.eqNullSafe(right) & left.isNotNull(), F.lit(0.0)).otherwise(F.abs(left - right).cast("double"))
+
+
+def _aligned(left: DataFrame, right: DataFrame, keys: Sequence[str], kinds: dict[str, str]) -> DataFrame:
     """One row per key with the row count and the values of either side.
 
     This is a full outer match without a join: both tables in one, grouped by key. A key that a third of all
@@ -42,9 +69,10 @@ def _aligned(left: DataFrame, right: DataFrame, keys: Sequence[str], kinds: dict
     def side(df: DataFrame, mine: str, theirs: str) -> DataFrame:
         counted = [F.lit(1).alias(f"n_{mine}"), F.lit(0).alias(f"n_{theirs}")]
         values = []
-        for i, (name, numeric) in enumerate(kinds.items()):
-            value = parse_number(quoted(name), df.schema[name].dataType) if numeric else quoted(name).cast("string")
-            nothing = F.lit(None).cast("double" if numeric else "string")
+        for i, (name, kind) in enumerate(kinds.items()):
+            number = kind == "double"
+            value = parse_number(quoted(name), df.schema[name].dataType) if number else quoted(name).cast(kind)
+            nothing = F.lit(None).cast(kind)
             values += [value.alias(f"{mine}{i}"), nothing.alias(f"{theirs}{i}")]
         return df.select(*[quoted(k).alias(f"key{j}") for j, k in enumerate(keys)], *counted, *values)
 
@@ -61,12 +89,12 @@ def _mismatch(i: int, numeric: bool, tolerance: float) -> Column:
     left, right = F.col(f"l{i}"), F.col(f"r{i}")
     if not numeric:
         return ~left.eqNullSafe(right)
-    return F.coalesce(F.abs(left - right) > tolerance, F.lit(False))
+    return F.coalesce(_difference(left, right) > tolerance, F.lit(False))
 
 
 def _column_measures(i: int, numeric: bool, tolerance: float, matched: Column) -> list[Column]:
     left, right = F.col(f"l{i}"), F.col(f"r{i}")
-    difference = F.abs(left - right) if numeric else F.lit(None).cast("double")
+    difference = _difference(left, right) if numeric else F.lit(None).cast("double")
     return [
         F.max(F.when(matched, difference)).alias(f"max{i}"),
         F.count_if(matched & _mismatch(i, numeric, tolerance)).alias(f"differ{i}"),
@@ -102,7 +130,8 @@ def diff_summary(
 ) -> DataFrame:
     """One row per column: largest difference, mismatches, and how the keys of the two tables relate.
 
-    A number mismatches if it is off by more than the tolerance, text if it is not the same (two NULLs are).
+    A number mismatches if it is off by more than the tolerance (integers and decimals are subtracted exactly, and equal
+    infinities are equal), text if it is not the same (two NULLs are).
     A value missing on one side is counted in ``null_mismatches``, for text also as a mismatch. Keys with
     several rows on a side cannot be matched; they are counted in ``duplicate_keys`` and not compared.
     """
@@ -115,7 +144,8 @@ def diff_summary(
         F.count_if(F.expr("n_l > 1 or n_r > 1")).alias("duplicate_keys"),
     ]
     rows = []
-    for i, (name, numeric) in enumerate(kinds.items()):
+    for i, (name, kind) in enumerate(kinds.items()):
+        numeric = kind != "string"
         measures += _column_measures(i, numeric, tolerance, matched)
         keys_seen = {n: F.col(n) for n in ("left_only", "right_only", "duplicate_keys")}
         rows.append({**_column_row(i, name, numeric), **keys_seen})
@@ -137,16 +167,17 @@ def diff_rows(
     """
     kinds = _kinds(left, right, _compared_columns(left, keys, columns))
     found = []
-    for i, (name, numeric) in enumerate(kinds.items()):
+    for i, (name, kind) in enumerate(kinds.items()):
+        numeric, double = kind != "string", kind == "double"
         lefts, rights = F.col(f"l{i}"), F.col(f"r{i}")
         nothing = {t: F.lit(None).cast(t) for t in ("double", "string")}
         entry = F.struct(
             F.lit(name).alias("column_name"),
-            (lefts if numeric else nothing["double"]).alias("ln"),
-            (rights if numeric else nothing["double"]).alias("rn"),
-            (nothing["string"] if numeric else lefts).alias("lt"),
-            (nothing["string"] if numeric else rights).alias("rt"),
-            (F.abs(lefts - rights) if numeric else nothing["double"]).alias("difference"),
+            (lefts if double else nothing["double"]).alias("ln"),
+            (rights if double else nothing["double"]).alias("rn"),
+            (nothing["string"] if double else lefts.cast("string")).alias("lt"),
+            (nothing["string"] if double else rights.cast("string")).alias("rt"),
+            (_difference(lefts, rights) if numeric else nothing["double"]).alias("difference"),
         )
         found.append(F.when(_mismatch(i, numeric, tolerance), entry))
     key_columns = [f"key{j}" for j in range(len(keys))]

@@ -6,7 +6,6 @@ a large part of all samples, so no operator puts one source's samples into one t
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,16 +24,10 @@ ADVICE_CPU = "Consider increasing Spark parallelism to better utilize CPU"
 ADVICE_MEMORY = "Consider increasing driver/executor memory or optimizing memory usage"
 ADVICE_STAGES = "Some Spark stages failed - check logs for errors"
 
-ROWS_PER_CHUNK = 1_000_000
-_MAX_CHUNKS = 10_000
-_LOOKS_PER_CHUNK = 200  # rows looked at to place a cut; where exactly it falls does not matter
-
-# Tables of a few numbers per key go to every task up to this many rows and bytes of keys; larger ones are
-# joined by shuffle.
-BROADCAST_ROWS = 100_000
-_BROADCAST_KEY_BYTES = 16 * MIB
-HOT_KEYS = 1000
-_SALTS = 200
+# A source's samples are ordered cell by cell: cells of time, and of crowded cells single instants and blocks of ids.
+CELL_SECONDS = 3600.0
+ROWS_PER_CELL = 1_000_000
+ID_BLOCK = 1_000_000
 
 
 def _ticks(df: DataFrame, time: str) -> tuple[Column, float]:
@@ -49,109 +42,64 @@ def counter_rate(
     counters: Sequence[str],
     name: str = "rate",
     unit: float = MIB,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    cell_seconds: float = CELL_SECONDS,
+    rows_per_cell: int = ROWS_PER_CELL,
+    id_block: int = ID_BLOCK,
 ) -> DataFrame:
     """Add the change of the counters per second since the source's previous sample, summed, in ``unit``.
 
     ``sample_id`` is a number that orders samples taken at the same time; it is unique within a source. The
     first sample of a source has no rate, nor has one taken at the time of its predecessor.
 
-    A source with more samples than a task should sort is cut into chunks along time. The last sample of a
-    chunk is handed to the next one, so the cuts do not show in the result.
+    A source is one window group per ``cell_seconds`` of its time, and the last sample of a cell is handed to the next
+    one, so the cuts do not show in the result. A cell of more than ``rows_per_cell`` samples is cut further, by instant and
+    by ``id_block`` numbers of the id. Nothing runs before an action does, and no number of samples changes the plan.
     """
     tick, per_second = _ticks(samples, time)
     sample = {"__tick": tick}
     sample |= {f"__c{i}": quoted(counter).cast("double") for i, counter in enumerate(counters)}
-    # NULL is a source like any other, but would not match itself in a join.
-    whose = {"__source": F.coalesce(quoted(source).cast("string"), F.lit("")), "__unnamed": quoted(source).isNull()}
-    rows = samples.count()
-    limit = max(rows_per_chunk, math.ceil(rows / _MAX_CHUNKS))
-    counted = samples.groupBy(*[key.alias(name) for name, key in whose.items()]).agg(F.count("*").alias("__rows"))
-    large = counted.where(F.col("__rows") > limit)  # no more than _MAX_CHUNKS sources
-    large_rows = large.agg(F.sum("__rows")).first()[0] if rows > limit else None
-    if large_rows is None:
-        ordered = Window.partitionBy(quoted(source)).orderBy(tick.asc_nulls_first(), quoted(sample_id))
-        before = {name: F.lag(value).over(ordered) for name, value in sample.items()}
-        df = samples.withColumns({f"{name}_before": value for name, value in before.items()})
-    else:
-        large = F.broadcast(large.select(*whose, F.lit(True).alias("__large")))
-        df = samples.withColumns(whose).join(large, list(whose), "left")
-        df = _with_chunk(df, tick, quoted(sample_id), math.ceil(large_rows / limit), large_rows)
-        df = _with_sample_before(df, list(whose), quoted(sample_id), sample)
-    elapsed = F.nullif(seconds(tick - F.col("__tick_before"), per_second), F.lit(0.0))
-    rates = [(sample[c] - F.col(f"{c}_before")) / elapsed / F.lit(float(unit)) for c in sample if c != "__tick"]
+    cell = F.floor(tick / F.lit(per_second * cell_seconds))
+    df = samples.withColumns({"__source": quoted(source), "__cell": cell, **sample, "__id": quoted(sample_id)})
+    counted = df.groupBy("__source", "__cell").agg(F.count("*").alias("__rows"))
+    crowded = counted.where(F.col("__rows") > rows_per_cell).select("__source", "__cell", F.lit(True).alias("__crowded"))
+    df = _join_same(df, crowded, ["__source", "__cell"])
+    df = df.withColumns(
+        {
+            "__instant": F.when(F.col("__crowded"), F.col("__tick")),
+            "__block": F.when(F.col("__crowded"), F.floor(F.col("__id") / F.lit(id_block))),
+        }
+    )
+    parts = ["__cell", "__instant", "__block"]
+    values = F.struct(*sample).alias("sample")
+    # One row per cell; the order of cells, missing ones first, is that of their samples.
+    before = Window.partitionBy("__source").orderBy(*[F.col(part).asc_nulls_first() for part in parts])
+    handed = (
+        df.groupBy("__source", *parts)
+        .agg(F.max(F.struct("__tick", "__id", values)).alias("last"))
+        .select("__source", *parts, F.lag("last.sample").over(before).alias("__handed"))
+    )
+    ordered = Window.partitionBy("__source", *parts).orderBy(F.col("__tick").asc_nulls_first(), "__id")
+    lagged = {f"{c}_before": F.lag(c).over(ordered) for c in sample}
+    df = df.withColumns({**lagged, "__first": F.lag(F.lit(False), 1, True).over(ordered)})
+    df = _join_same(df, handed, ["__source", *parts])
+    earlier = {
+        c: F.when(F.col("__first"), F.col(f"__handed.{c}")).otherwise(F.col(f"{c}_before")) for c in sample
+    }
+    elapsed = F.nullif(seconds(F.col("__tick") - earlier["__tick"], per_second), F.lit(0.0))
+    rates = [(F.col(c) - earlier[c]) / elapsed / F.lit(float(unit)) for c in sample if c != "__tick"]
     total = rates[0]
     for rate in rates[1:]:
         total = total + rate
     return df.select(*[quoted(column) for column in samples.columns], total.alias(name))
 
 
-def _with_sample_before(
-    df: DataFrame, whose: Sequence[str], sample_id: Column, sample: Mapping[str, Column]
-) -> DataFrame:
-    # The last sample of each chunk of the large sources: one row per task, source and chunk is shuffled.
-    values = F.struct(*[value.alias(name) for name, value in sample.items()]).alias("sample")
-    last = F.max(F.struct(sample["__tick"].alias("tick"), sample_id.alias("id"), values))
-    by_chunk = Window.partitionBy(*whose).orderBy("__chunk")
-    handed = (
-        df.where("__large")
-        .groupBy(*whose, "__chunk")
-        .agg(last.alias("last"))
-        .select(*whose, "__chunk", F.lag("last.sample").over(by_chunk).alias("__handed"))
-    )
-    ordered = Window.partitionBy(*whose, "__chunk").orderBy(sample["__tick"].asc_nulls_first(), sample_id)
-    before = {f"{name}_before": F.lag(value).over(ordered) for name, value in sample.items()}
-    df = df.withColumns({**before, "__first": F.lag(F.lit(False), 1, True).over(ordered)})
-    df = df.join(handed, [*whose, "__chunk"], "left")
-    return df.withColumns(
-        {
-            f"{name}_before": F.when(F.col("__first"), F.col(f"__handed.{name}")).otherwise(F.col(f"{name}_before"))
-            for name in sample
-        }
-    )
-
-
-def _with_chunk(df: DataFrame, tick: Column, sample_id: Column, chunks: int, rows: int) -> DataFrame:
-    """Number of the chunk a sample of a large source is in, rising with (tick, id). Other sources have one chunk.
-
-    Cuts are quantiles of the ticks over all large sources: a chunk holds about 1/chunks of their rows, and a
-    source's part of it no more. A tick that is a quantile twice over holds more than that, and its samples
-    are cut by quantiles of their ids. Quantiles are estimated from a fraction of the rows, so that the task
-    that merges them gets a few million values however large the table is. No row is left out of the result.
-    """
-    df = df.withColumn("__time", tick.cast("double")).withColumn("__id", sample_id.cast("double"))
-    fraction = chunks * _LOOKS_PER_CHUNK / rows
-    looks = df.where("__large")
-    looks = looks.sample(fraction, seed=0) if fraction < 1 else looks
-    cuts = _quantiles(looks, "__time", chunks)
-    crowded = sorted({cut for cut, following in zip(cuts, cuts[1:]) if cut == following})
-    df = _bucket(df, "__time", sorted(set(cuts)), "__chunk")
-    if crowded:
-        ids = sorted(set(_quantiles(looks.where(F.col("__time").isin(crowded)), "__id", chunks)))
-        df = _bucket(df, "__id", ids, "__part")
-        # A crowded tick opens its chunk, so the chunk's later samples come after all its parts.
-        part = F.when(F.col("__time").isin(crowded), F.col("__part")).otherwise(F.lit(len(ids) + 1))
-        df = df.withColumn("__chunk", F.col("__chunk") * F.lit(len(ids) + 2) + part).drop("__part")
-    chunk = F.when(F.col("__large"), F.col("__chunk")).otherwise(F.lit(0.0)).cast("bigint")
-    return df.withColumn("__chunk", chunk).drop("__time", "__id")
-
-
-def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
-    levels = [i / parts for i in range(1, parts)]
-    accuracy = max(10_000, 10 * parts)
-    found = df.agg(F.percentile_approx(column, levels, accuracy).alias("cuts")).first()["cuts"]
-    return found or []
-
-
-def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-
-    if not cuts:
-        return df.withColumn(name, F.lit(0.0))
-    splits = [-math.inf, *cuts, math.inf]
-    # A missing time sorts first and has no rate; it goes before all chunks.
-    bucketed = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
-    return bucketed.withColumn(name, F.when(F.col(column).isNull(), F.lit(-1.0)).otherwise(F.col(name)))
+def _join_same(many: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which a missing key matches itself."""
+    renamed = few.withColumnsRenamed({key: f"{key}_of" for key in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"{key}_of"))
+    return many.join(renamed, same, "left").drop(*[f"{key}_of" for key in keys])
 
 
 def phase_durations(samples: DataFrame, source: str, phase: str, time: str) -> DataFrame:
@@ -199,54 +147,38 @@ def split_by_phase(samples: DataFrame, bounds: DataFrame, source: str, time: str
     wanted = bounds.select(
         quoted(source), quoted(phase).alias(phase), F.col("start").alias("__start"), F.col("end").alias("__end")
     )
-    pairs = _join_small(timed, wanted, [source], "inner", wanted)
+    pairs = timed.join(wanted, source)
     inside = F.col("__at").between(F.col("__start"), F.col("__end"))
     return pairs.where(inside).select(*[quoted(name) for name in samples.columns], quoted(phase))
 
 
 def rescale_time(
-    samples: DataFrame, durations: DataFrame, source: str, phase: str, time: str, duration: str = "duration"
+    samples: DataFrame, durations: DataFrame | Column, source: str, phase: str, time: str, duration: str = "duration"
 ) -> DataFrame:
     """Add ``rescaled``: time stretched so that a phase's last sample is at the phase's duration.
 
-    NULL for phases without a positive duration and phases whose last sample is not after 0.
+    NULL for phases without a positive duration and phases whose last sample is not after 0. ``durations`` is a table of
+    them, or an aggregate over the samples, which is then computed together with the last sample. Both are a row per
+    source and phase; Spark chooses by their size, when it is known, how they are joined.
     """
     keys = [source, phase]
-    known = durations.select(*[quoted(key) for key in keys], quoted(duration).alias("__seconds"))
-    last = samples.groupBy(*[quoted(key) for key in keys]).agg(F.max(quoted(time)).alias("__last"))
-    factors = _join_small(last, known, keys, "inner", known)
-    joined = _join_small(samples, factors, keys, "left", known)
+    last = F.max(quoted(time)).alias("__last")
+    groups = samples.groupBy(*[quoted(key) for key in keys])
+    if isinstance(durations, Column):
+        factors = groups.agg(last, durations.alias("__seconds"))
+    else:
+        known = durations.select(*[quoted(key) for key in keys], quoted(duration).alias("__seconds"))
+        factors = groups.agg(last).join(known, keys)
+    joined = samples.join(factors, keys, "left")
     usable = (F.col("__last") > 0) & (F.col("__seconds") > 0)
     rescaled = F.when(usable, quoted(time) / F.col("__last") * F.col("__seconds"))
     return joined.select(*[quoted(name) for name in samples.columns], rescaled.alias("rescaled"))
 
 
-def _join_small(many: DataFrame, few: DataFrame, keys: list[str], how: str, bound: DataFrame) -> DataFrame:
-    """Join a table with few rows per key. ``bound`` has at least as many rows as ``few`` and is cheaper to count.
-
-    Within the size limits ``few`` is sent to all tasks and ``many`` is not moved. Beyond them both are shuffled,
-    with the rows of hot keys spread over several tasks.
-    """
-    key_bytes = [F.coalesce(F.octet_length(quoted(key).cast("string")), F.lit(0)) for key in keys]
-    sizes = [F.count("*").alias("rows"), F.coalesce(F.sum(sum(key_bytes, F.lit(0))), F.lit(0)).alias("bytes")]
-    size = bound.limit(BROADCAST_ROWS + 1).agg(*sizes).first()
-    if size["rows"] <= BROADCAST_ROWS and size["bytes"] <= _BROADCAST_KEY_BYTES:
-        return many.join(F.broadcast(few), keys, how)
-    # Keys with more than a thousandth of the rows each; so there are less than a thousand of them.
-    counted = many.groupBy(*[quoted(key) for key in keys]).agg(F.count("*").alias("__rows"))
-    hot = counted.where(F.col("__rows") > F.lit(many.count() / HOT_KEYS)).withColumn("__hot", F.lit(True))
-    hot = F.broadcast(hot.drop("__rows"))
-    any_salt = F.pmod(F.xxhash64(*[quoted(name) for name in many.columns]), F.lit(_SALTS))
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | quoted(key).isNull()  # matches nothing, so it may go anywhere
-    salted = many.join(hot, keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | no_key, any_salt).otherwise(F.lit(0).cast("bigint"))
-    )
-    zero, last = (F.lit(salt).cast("bigint") for salt in (0, _SALTS - 1))
-    salts = F.when(F.col("__hot"), F.sequence(zero, last)).otherwise(F.array(zero))
-    copies = few.join(hot, keys, "left").withColumn("__salt", F.explode(salts))
-    return salted.drop("__hot").join(copies.drop("__hot"), [*keys, "__salt"], how).drop("__salt")
+def phase_seconds(samples: DataFrame, time: str) -> Column:
+    """Aggregate: seconds from the first to the last sample."""
+    tick, per_second = _ticks(samples, time)
+    return seconds(F.max(tick) - F.min(tick), per_second)
 
 
 def summarize(
@@ -304,9 +236,19 @@ def advise(cpu_level: Column, memory_level: Column, failed_stages: Column) -> Co
     )
 
 
-def analyze(samples: DataFrame, by: Sequence[str], cpu: str, memory: str, counts: Mapping[str, Column]) -> DataFrame:
+def analyze(
+    samples: DataFrame,
+    by: Sequence[str],
+    cpu: str,
+    memory: str,
+    counts: Mapping[str, Column],
+    total_time: Column | None = None,
+    success: Column | None = None,
+) -> DataFrame:
     """Summary, use levels, success rates, utilizations and advice per group, in one aggregate.
 
+    ``total_time`` and ``success`` are aggregates that sum up the run; without them they are 0 and false.
+
     ``counts`` gives aggregate columns for any of ``stages_completed``, ``stages_failed``, ``jobs_completed``,
     ``jobs_failed``, ``memory_used``, ``memory_max``, ``cores_used`` and ``cores_max``. Missing ones are 0.
     """
@@ -320,11 +262,17 @@ def analyze(samples: DataFrame, by: Sequence[str], cpu: str, memory: str, counts
         for kind, metric in (("cpu", cpu), ("memory", memory))
         for suffix, measure in (("avg", F.avg), ("top", F.max), ("low", F.min))
     ]
+    run = [
+        F.coalesce(F.lit(0.0) if total_time is None else total_time, F.lit(0.0)).alias("total_time"),
+        F.coalesce(F.lit(False) if success is None else success, F.lit(False)).alias("success"),
+    ]
     totals = [F.coalesce(counts.get(name, F.lit(0)), F.lit(0)).alias(f"n_{name}") for name in names]
-    table = samples.groupBy(*[quoted(key) for key in by]).agg(*usage, *totals)
+    table = samples.groupBy(*[quoted(key) for key in by]).agg(*usage, *totals, *run)
     cpu_level, memory_level = level(F.col("cpu_avg")), level(F.col("memory_avg"))
     return table.select(
         *[quoted(key) for key in by],
+        "total_time",
+        "success",
         *[F.col(f"{kind}_avg").alias(f"{kind}_avg_usage") for kind in ("cpu", "memory")],
         *[F.col(f"{kind}_top").alias(f"{kind}_max_usage") for kind in ("cpu", "memory")],
         *[F.col(f"{kind}_low").alias(f"{kind}_min_usage") for kind in ("cpu", "memory")],

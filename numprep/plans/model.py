@@ -8,7 +8,7 @@ later filter, join or write is planned together with them, and no row is shuffle
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
@@ -33,6 +33,7 @@ OUT_OF_RANGE = "Out of range"
 DATA, VALID, ERROR = "data", "valid", "error"
 
 PARSE_ERROR = "parse error"
+OVERFLOW = "does not fit"
 
 # Defaults of a column without any value.
 _EMPTY_MIN, _EMPTY_MAX = 0.0, 1.0
@@ -146,21 +147,31 @@ class FittedColumn:
 
     def inverse_normalize(self, scaled: Column) -> Column:
         """Struct of ``data`` (number), ``valid`` and ``error``."""
-        return _checked(self.unscale(scaled), self.rejected(scaled), REJECTED)
+        return _checked(self.unscale(scaled), [(self.rejected(scaled), REJECTED)])
 
     def inverse_convert(self, number: Column) -> Column:
         """Struct of ``data`` (stored form), ``valid`` and ``error``."""
-        return _checked(self.write(self.settle(number)), self.out_of_range(number), OUT_OF_RANGE)
+        settled = self.settle(number)
+        return _checked(self.write(settled), [(self.out_of_range(number), OUT_OF_RANGE), (self.lost(settled), OVERFLOW)])
 
+    def lost(self, settled: Column) -> Column | None:
+        """Condition for a settled number that the stored type cannot hold. Text and doubles hold any."""
+        if isinstance(self.data_type, (T.StringType, T.DoubleType)):
+            return None
+        return settled.isNotNull() & self.write(settled).isNull()
 
-def _checked(value: Column, broken: Column | None, message: str) -> Column:
-    if broken is None:
+
+def _checked(value: Column, problems: Sequence[tuple[Column | None, str]]) -> Column:
+    """Struct of the value, NULL where there is a problem, and the first problem's message."""
+    known = [(broken, message) for broken, message in problems if broken is not None]
+    if not known:
         return F.struct(compiled_apart(value).alias(DATA), F.lit(True).alias(VALID), F.lit("").alias(ERROR))
-    broken = F.coalesce(broken, F.lit(False))
+    error = F.when(known[0][0], F.lit(known[0][1]))
+    for broken, message in known[1:]:
+        error = error.when(broken, F.lit(message))
+    error = error.otherwise(F.lit(""))
     return F.struct(
-        compiled_apart(F.when(~broken, value)).alias(DATA),
-        (~broken).alias(VALID),
-        F.when(broken, F.lit(message)).otherwise(F.lit("")).alias(ERROR),
+        compiled_apart(F.when(error == "", value)).alias(DATA), (error == "").alias(VALID), error.alias(ERROR)
     )
 
 
@@ -209,7 +220,8 @@ class FittedModel:
         """Replace every fitted column by its value in original units, type and text form.
 
         ``flags`` adds ``<c>_valid`` and ``<c>_error`` behind each. Invalid values are NULL. A value beyond
-        [0, 1] is reported before one beyond the bounds, and an error ``transform`` has flagged before both.
+        [0, 1] is reported before one beyond the bounds, that before one the stored type cannot hold, and an error
+        ``transform`` has flagged before all.
         """
         types = column_types(df, self.columns)
         # Each step's result is used several times by the next. As columns of their own they are computed once.
@@ -229,6 +241,9 @@ class FittedModel:
             beyond = fitted.out_of_range(F.col(number))
             if beyond is not None:
                 cases.append((beyond, F.lit(OUT_OF_RANGE)))
+            lost = fitted.lost(fitted.settle(F.col(number)))
+            if lost is not None:
+                cases.append((lost, F.lit(OVERFLOW)))
             settled.append(fitted.settle(F.col(number)).alias(work))
             value = fitted.write(F.col(work))
             if not cases:

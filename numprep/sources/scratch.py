@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,13 +10,6 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its machine: there it is shared by all tasks.
-    """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="numprep-")
+    """New path below the shared folder the cluster names in ``spark.checkpoint.dir``; where unset, in the warehouse."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -89,3 +89,19 @@ def test_round_trip(spark):
     assert found["price"]["mismatches"] == 1 and found["price"]["max_abs_diff"] == pytest.approx(0.05)
     assert found["price"]["all_equal"] is False
     assert (found["n"]["compared"], found["n"]["mismatches"], found["n"]["all_equal"]) == (3, 0, True)
+
+
+def test_exact_numbers_and_infinities(spark):
+    left = spark.sql(
+        "select 1 k, 9007199254740993L a, cast(1.000000000000000000001 as decimal(38,21)) b, double('inf') c, 1L d"
+    )
+    right = spark.sql("select 1 k, 9007199254740992L a, cast(1 as decimal(38,21)) b, double('inf') c, cast(1 as decimal(3,1)) d")
+    rows = {r.column_name: r for r in diff_summary(left, right, ["k"]).collect()}
+    assert (rows["a"].mismatches, rows["a"].all_equal, rows["a"].max_abs_diff) == (1, False, 1.0)
+    assert (rows["b"].mismatches, rows["b"].all_equal) == (0, False)
+    assert (rows["c"].mismatches, rows["c"].all_equal, rows["c"].max_abs_diff) == (0, True, 0.0)
+    assert (rows["d"].mismatches, rows["d"].all_equal) == (0, True)
+    found = diff_rows(left, right, ["k"]).collect()
+    assert [(r.column_name, r.left_value, r.right_value) for r in found] == [("a", "9007199254740993", "9007199254740992")]
+    opposite = diff_summary(left.select("k", "c"), right.selectExpr("k", "-c c"), ["k"]).first()
+    assert (opposite.mismatches, opposite.max_abs_diff) == (1, float("inf"))

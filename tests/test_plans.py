@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from numprep import ColumnSpec, fit
-from numprep.operators import diff_rows, diff_summary, profile, round_trip
+from numprep.catalog import QUERIES
+from numprep.operators import counter_rate, diff_rows, diff_summary, profile, round_trip
 from numprep.sources import generate, write_table
 
 SPECS = [
@@ -92,3 +93,20 @@ def test_diff_shuffles_each_table_once(spark, people):
 def test_generator_is_a_projection(spark):
     text = plan(generate(spark, 1000))
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_rates_run_nothing_before_an_action(spark, tables):
+    events = spark.read.parquet(f"{tables}/events.parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rates", "rates")
+    try:
+        text = plan(counter_rate(events, "user_id", "ts", "event_id", ["value"], cell_seconds=60, rows_per_cell=5))
+        assert not tracker.getJobIdsForGroup("rates")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "Join" in text and "Cartesian" not in text
+
+
+def test_rescaled_time_scans_twice(spark, tables):
+    text = plan(QUERIES["rescaled_time"](spark, tables))
+    assert text.count("FileScan") == 2

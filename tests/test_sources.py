@@ -13,6 +13,7 @@ from numprep.sources import (
     rows_for_bytes,
     scratch_path,
     stored_bytes,
+    unpack_samples,
     write_table,
 )
 
@@ -99,6 +100,33 @@ def test_table_formats(spark, tmp_path, file_format):
             read_table(spark, path, file_format)
 
 
+@pytest.mark.parametrize("file_format", ["csv", "json", "orc", "parquet"])
+def test_formats_lose_nothing(spark, tmp_path, file_format):
+    texts = [None, "", " ", " 12 ", "a\nb", "\r\n", "\\", "\\n", "\\\\n\n", "\\N", '"', '""', ',"x\\"', "null", "#", "\t", "é\n", "\\\r"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").selectExpr(
+        "*", "timestamp'2024-01-02 03:04:05.678901' ts", "timestamp_ntz'2024-01-02 03:04:05.678901' n", "if(id = 3, null, id / 3) d"
+    )
+    path = str(tmp_path / "t")
+    write_table(df, path, file_format)
+    back = read_table(spark, path, file_format, df.schema)
+    assert back.orderBy("id").collect() == df.orderBy("id").collect()
+
+
+def test_unpacked_samples(spark):
+    runs = spark.createDataFrame(
+        [("r1", [0.0, 1.0, 2.0], [5.0], [(1.0, 7), (2.0, 8)]), ("r2", [], None, None), ("r3", None, [1.0], [])],
+        "run string, timestamps array<double>, cpu array<double>, process_metrics array<struct<cpu_percent: double, threads: int>>",
+    )
+    lists = {"t": "timestamps", "cpu": "cpu", "process_cpu": "process_metrics.cpu_percent", "threads": "process_metrics.threads"}
+    got = unpack_samples(runs, ["run"], lists, position="n").orderBy("run", "n").collect()
+    assert [tuple(r) for r in got] == [
+        ("r1", 0, 0.0, 5.0, 1.0, 7),
+        ("r1", 1, 1.0, None, 2.0, 8),
+        ("r1", 2, 2.0, None, None, None),
+        ("r3", 0, None, 1.0, None, None),
+    ]
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a").startswith(folder) and scratch_path(spark, "a") != scratch_path(spark, "a")

@@ -61,12 +61,13 @@ def _samples(kind):
 
 
 @pytest.mark.parametrize("kind", ["even", "hot source", "hot time", "few times", "no time", "many sources"])
-@pytest.mark.parametrize(("rows_per_chunk", "looks"), [(10_000, 200), (40, 200), (40, 5)])
-def test_counter_rate(spark, monkeypatch, kind, rows_per_chunk, looks):
-    monkeypatch.setattr(telemetry, "_LOOKS_PER_CHUNK", looks)
+@pytest.mark.parametrize(("cell", "rows_per_cell", "block"), [(1e6, 10_000, 1), (100.0, 40, 7), (1.0, 2, 1), (300.0, 1, 1000)])
+def test_counter_rate(spark, kind, cell, rows_per_cell, block):
     rows = _samples(kind)
     df = spark.createDataFrame(rows, "id bigint, source string, ts double, a double, b double")
-    rates = counter_rate(df, "source", "ts", "id", ["a", "b"], unit=1.0, rows_per_chunk=rows_per_chunk)
+    rates = counter_rate(
+        df, "source", "ts", "id", ["a", "b"], unit=1.0, cell_seconds=cell, rows_per_cell=rows_per_cell, id_block=block
+    )
     assert rates.columns == [*df.columns, "rate"]
     got = {row["id"]: row["rate"] for row in rates.collect()}
     expected = _rates_by_hand(rows)
@@ -74,19 +75,6 @@ def test_counter_rate(spark, monkeypatch, kind, rows_per_chunk, looks):
     assert got == expected
 
 
-def test_chunks_of_a_hot_source_are_small(spark):
-    """All samples of one source, two thirds of them at one time."""
-    rows = _samples("hot time")
-    df = spark.createDataFrame([(r[0], "a", r[2]) for r in rows], "id bigint, source string, ts double")
-    df = df.withColumn("__large", F.lit(True))
-    chunked = telemetry._with_chunk(df, F.col("ts"), F.col("id"), 20, len(rows))
-    sizes = [r["count"] for r in chunked.groupBy("source", "__chunk").count().collect()]
-    assert sum(sizes) == len(rows) and max(sizes) <= 2 * len(rows) / 20
-    ordered = chunked.orderBy("ts", "id").collect()
-    chunks = [r["__chunk"] for r in ordered]
-    assert chunks == sorted(chunks)
-
-
 def test_first_sample_has_no_rate(spark):
     df = spark.createDataFrame([(1, "a", 0.0, 5.0), (2, "a", 2.0, 9.0)], "id int, s string, t double, c double")
     rates = counter_rate(df, "s", "t", "id", ["c"], unit=1.0).orderBy("id").collect()
@@ -137,11 +125,7 @@ def test_phases_follow_one_another(spark):
     ]
 
 
-@pytest.mark.parametrize(("broadcast_rows", "hot_keys"), [(100_000, 1000), (0, 1000), (0, 2), (0, 1)])
-def test_border_samples_are_in_both_phases(spark, monkeypatch, broadcast_rows, hot_keys):
-    """Joined by broadcast, and by shuffle as a large bounds table is, with all, some and no keys salted."""
-    monkeypatch.setattr(telemetry, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(telemetry, "HOT_KEYS", hot_keys)
+def test_border_samples_are_in_both_phases(spark):
     samples = spark.createDataFrame(
         [("r1", 0.0), ("r1", 10.0), ("r1", 11.0), ("r1", 15.5), ("r2", 0.5), ("r3", 0.5)], "run string, ts double"
     )
@@ -156,10 +140,7 @@ def test_border_samples_are_in_both_phases(spark, monkeypatch, broadcast_rows, h
     ]
 
 
-@pytest.mark.parametrize(("broadcast_rows", "hot_keys"), [(100_000, 1000), (0, 1000), (0, 2), (0, 1)])
-def test_rescaled_time(spark, monkeypatch, broadcast_rows, hot_keys):
-    monkeypatch.setattr(telemetry, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(telemetry, "HOT_KEYS", hot_keys)
+def test_rescaled_time(spark):
     samples = spark.createDataFrame(
         [("r", "fit", 1.0), ("r", "fit", 4.0), ("r", "other", 2.0), ("r", "early", -1.0), ("r", "zero", 3.0), (None, None, 9.0)],
         "run string, phase string, ts double",
