@@ -145,23 +145,19 @@ def _path_features(path: tuple[str, ...]) -> list[str]:
     return sorted(found)
 
 
-def _text_features(block: Block, place: int, count: int) -> list[str]:
+def _text_features(block: Block) -> list[str]:
     n = len(block.text)
-    out = ["bias", f"length:{min(n.bit_length(), 12)}", f"linked:{min(4, 4 * block.linked // max(n, 1))}"]
+    out = ["bias", f"length:{min(n.bit_length(), 9)}", f"linked:{min(4, 4 * block.linked // max(n, 1))}"]
     if _END_OF_SENTENCE.search(block.text):
         out.append("sentence")
     if "©" in block.text:
         out.append("copyright")
-    if place == 0:
-        out.append("first")
-    if place == count - 1:
-        out.append("last")
     return out
 
 
 def features(blocks: list[Block]) -> list[list[str]]:
     """Ancestor and text features of each block."""
-    return [_path_features(b.path) + _text_features(b, i, len(blocks)) for i, b in enumerate(blocks)]
+    return [_path_features(b.path) + _text_features(b) for b in blocks]
 
 
 @dataclass
@@ -176,20 +172,20 @@ class Field:
     def __post_init__(self) -> None:
         self.memory: dict[tuple[str, ...], float] = {}
 
-    def _score(self, block: Block, place: int, count: int) -> float:
+    def _score(self, block: Block) -> float:
         known = self.memory.get(block.path)
         if known is None:
             if len(self.memory) > 100_000:
                 self.memory.clear()
             known = self.memory[block.path] = sum(self.weights.get(f, 0.0) for f in _path_features(block.path))
-        return known + sum(self.weights.get(f, 0.0) for f in _text_features(block, place, count))
+        return known + sum(self.weights.get(f, 0.0) for f in _text_features(block))
 
     def decode(self, blocks: list[Block]) -> list[int]:
         """The most likely labels, by Viterbi."""
         if not blocks:
             return []
         (a, b), (c, d) = self.pairs.tolist()
-        scores = [self._score(x, i, len(blocks)) for i, x in enumerate(blocks)]
+        scores = [self._score(x) for x in blocks]
         other, main = float(self.first[0]), float(self.first[1]) + scores[0]
         back = []
         for score in scores[1:]:
@@ -298,8 +294,8 @@ def _layout(article: list[Block], others: list[Block], draw: random.Random) -> s
     body = "".join(f"<{b.path[-1].split('.')[0] if b.path else 'p'}>{entities.escape(b.text)}</p>" for b in article)
     if draw.random() < 0.4:
         body += piece(draw.choice(_OTHERS[5:18]))
-    parts = [piece(k) for k in draw.sample(_OTHERS[:13], 4)] + [some(draw.choice(_ARTICLE), body, 1)]
-    parts += [piece(k) for k in draw.sample(_OTHERS[5:], 4)]
+    parts = [piece(k) for k in draw.sample(_OTHERS[:13], draw.randint(0, 4))] + [some(draw.choice(_ARTICLE), body, 1)]
+    parts += [piece(k) for k in draw.sample(_OTHERS[5:], draw.randint(0, 4))]
     return "<html><body>" + "".join(parts) + "</body></html>"
 
 
