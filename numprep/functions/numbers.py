@@ -82,8 +82,7 @@ def number_text(number: Column, places: int | None = None) -> Column:
     """Decimal text of a double, in the form Python prints: ``12.0``, ``0.5``, ``1e+16``.
 
     ``places`` is the number of decimals the value was rounded to. Zero is written without a sign. Numbers of
-    up to 15 digits are written as they are. The text of longer ones is read back as the same double, but JVMs
-    before 19 may write one digit more than it takes.
+    up to 15 digits are written as they are, longer ones with the fewest digits that give the same double.
     """
     size = F.abs(number)
     scale = _WIDEST_SCALE if places is None else min(max(places, 1), _WIDEST_SCALE)
@@ -92,9 +91,15 @@ def number_text(number: Column, places: int | None = None) -> Column:
     # a text that short is the shortest.
     jvm_text = (number + F.lit(0.0)).cast("string")
     as_is = (size < 1e7) & (F.length(jvm_text) <= 16)
-    # Of longer texts, 15 digits are kept if they give the same double. Only rare values come this far.
-    digits = F.call_function("format_number", number, F.lit("0." + "#" * 14 + "E0"))
-    shorter = F.when(digits.try_cast("double") == number, digits).otherwise(jvm_text)
+    # Of longer texts, the fewest digits from 15 on that give the same double. Only rare values come this far.
+    # The JVM rounds what it has rounded to 17 digits before, so whole numbers are written from their exact value.
+    whole = number.try_cast("bigint").cast("decimal(20,0)")
+    written = [
+        F.call_function("format_number", value, F.lit("0." + "#" * (n - 1) + "E0"))
+        for n in (15, 16, 17)
+        for value in (whole, number)
+    ]
+    shorter = F.coalesce(*[F.when(text.try_cast("double") == number, text) for text in written], jvm_text)
     plain, exponent = size < 1e16, F.regexp_replace(shorter, r"(\.0)?E(\d)", "e+$2")
     if tiny:
         as_is = ((size >= 1e-3) | (size == 0)) & as_is
