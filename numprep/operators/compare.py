@@ -16,6 +16,8 @@ from numprep.plans.model import FittedModel, quoted
 TOLERANCE = 1e-6
 SAMPLE_ROWS = 10
 
+#: Rows to report up to this number are sent to all tasks to look up their texts.
+BROADCAST_ROWS = 10_000
 _SALTS = 64
 _GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
@@ -63,21 +65,30 @@ def _aligned(left: DataFrame, right: DataFrame, keys: Sequence[str], kinds: dict
 
     This is a full outer match without a join: both tables in one, grouped by key. A key that a third of all
     rows share shrinks to one row per task before the shuffle, where a join would pair its copies. NULL keys
-    match each other. Values mean something only where a side has exactly one row.
+    match each other. Values mean something only where a side has exactly one row. Of texts there are 128 bits of
+    hashes, because an aggregate of texts would have to sort all rows.
     """
 
     def side(df: DataFrame, mine: str, theirs: str) -> DataFrame:
         counted = [F.lit(1).alias(f"n_{mine}"), F.lit(0).alias(f"n_{theirs}")]
         values = []
         for i, (name, kind) in enumerate(kinds.items()):
-            number = kind == "double"
-            value = parse_number(quoted(name), df.schema[name].dataType) if number else quoted(name).cast(kind)
-            nothing = F.lit(None).cast(kind)
-            values += [value.alias(f"{mine}{i}"), nothing.alias(f"{theirs}{i}")]
+            if kind == "string":
+                text = quoted(name).cast("string")
+                hashes = (F.when(text.isNotNull(), F.xxhash64(*seed, text)) for seed in ((), (F.lit(1),)))
+                found = dict(zip((f"{i}", f"{i}x"), hashes))
+            elif kind == "double":
+                found = {f"{i}": parse_number(quoted(name), df.schema[name].dataType)}
+            else:
+                found = {f"{i}": quoted(name).cast(kind)}
+            nothing = F.lit(None).cast("bigint" if kind == "string" else kind)
+            for place, value in found.items():
+                values += [value.alias(f"{mine}{place}"), nothing.alias(f"{theirs}{place}")]
         return df.select(*[quoted(k).alias(f"key{j}") for j, k in enumerate(keys)], *counted, *values)
 
     both = side(left, "l", "r").unionByName(side(right, "r", "l"))
-    sides = [F.max(f"{s}{i}").alias(f"{s}{i}") for i in range(len(kinds)) for s in "lr"]
+    places = [f"{i}" for i in range(len(kinds))] + [f"{i}x" for i, kind in enumerate(kinds.values()) if kind == "string"]
+    sides = [F.max(f"{s}{place}").alias(f"{s}{place}") for place in places for s in "lr"]
     counts = [F.sum(n).alias(n) for n in ("n_l", "n_r")]
     return both.groupBy(*[f"key{j}" for j in range(len(keys))]).agg(*counts, *sides)
 
@@ -88,10 +99,14 @@ _MATCHED = "n_l = 1 and n_r = 1"
 def _mismatch(i: int, numeric: bool, tolerance: float) -> Column:
     left, right = F.col(f"l{i}"), F.col(f"r{i}")
     if not numeric:
-        return ~left.eqNullSafe(right)
+        return ~_same_text(i)
     return F.coalesce(_difference(left, right) > tolerance, F.lit(False))
 
 
+def _same_text(i: int) -> Column:
+    return F.col(f"l{i}").eqNullSafe(F.col(f"r{i}")) & F.col(f"l{i}x").eqNullSafe(F.col(f"r{i}x"))
+
+
 def _column_measures(i: int, numeric: bool, tolerance: float, matched: Column) -> list[Column]:
     left, right = F.col(f"l{i}"), F.col(f"r{i}")
     difference = _difference(left, right) if numeric else F.lit(None).cast("double")
@@ -99,7 +114,9 @@ def _column_measures(i: int, numeric: bool, tolerance: float, matched: Column) -
         F.max(F.when(matched, difference)).alias(f"max{i}"),
         F.count_if(matched & _mismatch(i, numeric, tolerance)).alias(f"differ{i}"),
         F.count_if(matched & (left.isNull() != right.isNull())).alias(f"null{i}"),
-        F.coalesce(F.bool_and(F.when(matched, left.eqNullSafe(right))), F.lit(True)).alias(f"equal{i}"),
+        F.coalesce(
+            F.bool_and(F.when(matched, left.eqNullSafe(right) if numeric else _same_text(i))), F.lit(True)
+        ).alias(f"equal{i}"),
     ]
 
 
@@ -175,8 +192,8 @@ def diff_rows(
             F.lit(name).alias("column_name"),
             (lefts if double else nothing["double"]).alias("ln"),
             (rights if double else nothing["double"]).alias("rn"),
-            (nothing["string"] if double else lefts.cast("string")).alias("lt"),
-            (nothing["string"] if double else rights.cast("string")).alias("rt"),
+            (lefts.cast("string") if numeric and not double else nothing["string"]).alias("lt"),
+            (rights.cast("string") if numeric and not double else nothing["string"]).alias("rt"),
             (_difference(lefts, rights) if numeric else nothing["double"]).alias("difference"),
         )
         found.append(F.when(_mismatch(i, numeric, tolerance), entry))
@@ -197,7 +214,12 @@ def diff_rows(
     if limit > int(left.sparkSession.conf.get(_GROUP_LIMIT)):
         salt = F.pmod(F.xxhash64(*key_columns), F.lit(_SALTS))
         mismatches = first(mismatches.withColumn("salt", salt), "column_name", "salt").drop("salt", "position")
-    return first(mismatches, "column_name").select(
+    found = first(mismatches, "column_name")
+    texts = [name for name, kind in kinds.items() if kind == "string"]
+    few = limit * len(kinds) <= BROADCAST_ROWS
+    for df, out in ((left, "lt"), (right, "rt")) if texts else ():
+        found = _with_text(F.broadcast(found) if few else found, df, keys, texts, out)
+    return found.select(
         "column_name",
         F.col("position").cast("bigint").alias("position"),
         *[F.col(column).alias(name) for column, name in zip(key_columns, keys)],
@@ -207,6 +229,21 @@ def diff_rows(
     )
 
 
+def _with_text(found: DataFrame, df: DataFrame, keys: Sequence[str], texts: Sequence[str], out: str) -> DataFrame:
+    """The found rows with the text that the table has in their column. Their keys are in the table once."""
+    own = df.select(
+        *[quoted(key).alias(f"own{j}") for j, key in enumerate(keys)],
+        *[quoted(name).cast("string").alias(f"text{i}") for i, name in enumerate(texts)],
+    )
+    same = F.lit(True)
+    for j in range(len(keys)):
+        same = same & F.col(f"key{j}").eqNullSafe(F.col(f"own{j}"))
+    value = F.col(out)
+    for i, name in enumerate(texts):
+        value = F.when(F.col("column_name") == name, F.col(f"text{i}")).otherwise(value)
+    return own.join(found, same).withColumn(out, value).select(found.columns)
+
+
 def round_trip(df: DataFrame, model: FittedModel, tolerance: float = TOLERANCE) -> DataFrame:
     """Compare each fitted column with its value after scaling and restoring, one row per column.
 

@@ -86,8 +86,12 @@ def test_diff_shuffles_each_table_once(spark, people):
     keyed = people.withColumn("k", F.xxhash64(*people.columns))
     text = plan(diff_summary(keyed, keyed, ["k"], columns=["day_of_month", "leaderboard_rank"]))
     assert "Join" not in text and text.count("hashpartitioning") == 1 and "SortAggregate" not in text
+    for columns in (None, ["height"]):
+        text = plan(diff_summary(keyed, keyed, ["k"], columns=columns))
+        assert "Join" not in text and "Sort" not in text
     text = plan(diff_rows(keyed, keyed, ["k"]))
-    assert "Join" not in text and "WindowGroupLimit" in text and "Partial" in text
+    assert "SortMergeJoin" not in text and "SortAggregate" not in text
+    assert "WindowGroupLimit" in text and "Partial" in text
 
 
 def test_generator_is_a_projection(spark):
