@@ -58,8 +58,16 @@ def parse_number(
     NaN counts as missing, because Spark orders it above every number and one NaN would become the maximum.
     """
     if isinstance(data_type, T.StringType):
-        ok = is_number_text(column, prefix, suffix, strict_affix)
-        return compiled_apart(F.when(ok, bare_text(column, prefix, suffix).try_cast("double")))
+        bare = bare_text(column, prefix, suffix)
+        value = bare.try_cast("double")
+        if strict_affix:
+            return compiled_apart(F.when(is_number_text(column, prefix, suffix, True), value))
+        # The pattern costs more than the cast, which accepts more than it in blanks, names, hexadecimal numbers and type
+        # letters. A text without x that goes from a sign, point or digit to a digit has none of these.
+        first, last = F.ascii(bare), F.ascii(F.substring(bare, -1, 1))
+        usual = first.between(ord("+"), ord("9")) & last.between(ord("0"), ord("9"))
+        usual = usual & ~F.contains(F.lower(bare), F.lit("x"))
+        return compiled_apart(F.when(usual, value).when(is_number_text(column, prefix, suffix), value))
     number = column.cast("double")
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return compiled_apart(F.when(~F.isnan(number), number))
