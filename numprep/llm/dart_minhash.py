@@ -26,8 +26,8 @@ BAND = 4
 LEAST_AGREEMENT = 0.6
 #: Darts thrown at a text at first: with so many, few coordinates stay empty; those texts get twice as many again.
 DARTS = COORDINATES * np.log(COORDINATES) + 2 * COORDINATES
-#: Members of a bucket that are compared with as many others at once.
-BLOCK = 64
+#: Members of a bucket that are compared with each other in one go; of larger ones, blocks of texts are.
+BLOCK, TEXT_BLOCK = 64, 32
 
 _STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -150,25 +150,64 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(one, other), lists of (node, component, signature), to agreeing pairs of different components."""
+    """(bucket, members), lists of (node, component, signature), to agreeing pairs of different components.
+
+    A pair that shares several buckets is told in that of its first band only.
+    """
     for batch in batches:
-        sides = []
-        for name in ("one", "other"):
-            column = batch.column(name)
-            flat = column.flatten()
-            offsets = np.asarray(column.offsets).astype(np.int64)
-            sides.append((offsets - offsets[0], *(flat.field(i) for i in range(3))))
-        (at, a, ca, sa), (bt, b, cb, sb) = sides
-        a, b, ca, cb = (np.asarray(x) for x in (a, b, ca, cb))
-        sa, sb = _rows(sa), _rows(sb)
+        column = batch.column("members")
+        flat = column.flatten()
+        offsets = np.asarray(column.offsets).astype(np.int64)
+        offsets -= offsets[0]
+        node, part = np.asarray(flat.field(0)), np.asarray(flat.field(1))
+        signature = _rows(flat.field(2))
+        bands = textvec.signed(band_hashes(signature))
+        buckets = np.asarray(batch.column("bucket"))
         for row in range(batch.num_rows):
-            i, j = (x.reshape(-1) for x in np.meshgrid(np.arange(at[row], at[row + 1]), np.arange(bt[row], bt[row + 1])))
-            apart = ca[i] != cb[j]
+            i, j = (x + offsets[row] for x in np.triu_indices(offsets[row + 1] - offsets[row], 1))
+            apart = part[i] != part[j]
             i, j = i[apart], j[apart]
-            alike = _agreement(sa[i], sb[j]) >= LEAST_AGREEMENT
+            alike = _agreement(signature[i], signature[j]) >= LEAST_AGREEMENT
             i, j = i[alike], j[alike]
+            first = (bands[i] == bands[j]).argmax(axis=1)
+            here = bands[i, first] == buckets[row]
+            i, j = i[here], j[here]
+            if len(i):
+                low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+
+def block_similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Weighted Jaccard similarity of each text of one block with each of another, by a product of their cell tables."""
+    sides = [shingles(*textvec.utf8(x)) for x in (left, right)]
+    common = np.intersect1d(sides[0][1], sides[1][1])
+    tables, sizes = [], []
+    for (text, cells), texts in zip(sides, (left, right), strict=True):
+        at = np.searchsorted(common, cells)
+        known = at < len(common)
+        known[known] = common[at[known]] == cells[known]
+        table = np.zeros((len(texts), len(common)), np.float32)
+        table[text[known], at[known]] = 1
+        tables.append(table)
+        sizes.append(np.bincount(text, minlength=len(texts)))
+    shared = (tables[0] @ tables[1].T).astype(np.float64)
+    return shared / np.maximum(sizes[0][:, None] + sizes[1][None, :] - shared, 1)
+
+
+def _crossing_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(one, other), lists of (node, component, text), to links of different components.
+
+    A node is linked once to each component of the other block: more links would connect nothing more.
+    """
+    for batch in batches:
+        for row in range(batch.num_rows):
+            sides = [batch.column(name)[row].values for name in ("one", "other")]
+            (a, ca), (b, cb) = ((np.asarray(s.field(0)), np.asarray(s.field(1))) for s in sides)
+            alike = block_similarities(sides[0].field(2), sides[1].field(2)) >= SIMILARITY - 1e-12
+            i, j = np.nonzero(alike & (ca[:, None] != cb[None, :]))
             if len(i):
-                low, high = np.minimum(a[i], b[j]), np.maximum(a[i], b[j])
+                _, first = np.unique(np.stack([i, cb[j]]), axis=1, return_index=True)
+                low, high = np.minimum(a[i], b[j])[first], np.maximum(a[i], b[j])[first]
                 yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
 
@@ -203,15 +242,39 @@ def _with_values(pairs: DataFrame, values: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
 
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Stored (node, value) of the nodes wanted, with their texts."""
+    keys = wanted.distinct().join(nodes.select("node", "text_key"), "node")
+    texts = docs.select(text_key().alias("text_key"), text_of().alias("value"))
+    return stored(texts.join(keys, "text_key").groupBy("node").agg(F.min("value").alias("value")), "texts")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the pairs of nodes whose texts are similar enough; only texts of the pairs are looked at."""
     pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keys = wanted.join(nodes.select("node", "text_key"), "node")
-    texts = docs.select(text_key().alias("text_key"), text_of().alias("value"))
-    texts = texts.join(keys, "text_key").groupBy("node").agg(F.min("value").alias("value"))
-    similar = _with_values(pairs, stored(texts, "texts")).mapInArrow(_confirming, "a long, b long")
-    return stored(similar, "links")
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), nodes, docs)
+    return stored(_with_values(pairs, texts).mapInArrow(_confirming, "a long, b long"), "links")
+
+
+def _crowded(seen: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between components, of rows (main, node, component) of buckets too large for one task.
+
+    Buckets with the same largest component are taken together, so that no pair is compared once per band. Members
+    outside that component are compared with all members, in blocks, by their texts.
+    """
+    members = stored(seen.select("main", "node", "component").distinct(), "crowded")
+    texts = _texts(members.select("node"), nodes, docs)
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        counts = rows.groupBy("main").agg(F.ceil(F.count("*") / TEXT_BLOCK).alias("blocks"))
+        full = rows.join(counts, "main").join(texts, "node")
+        number = F.pmod(F.xxhash64("node"), "blocks").alias(f"{name}_block")
+        row = F.struct("node", "component", F.col("value").alias("text"))
+        return full.groupBy("main", number).agg(F.collect_list(row).alias(name))
+
+    outside = blocks(members.where("component != main"), "one")
+    pairs = outside.join(blocks(members, "other"), "main").select("one", "other")
+    return stored(pairs.mapInArrow(_crossing_blocks, "a long, b long"), "links")
 
 
 def links(signed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -219,9 +282,9 @@ def links(signed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     First each member of a bucket is compared with the bucket's centre, the text that shares most buckets with others:
     of copies with small changes, that is the one they were made from. The confirmed links make components. Then, in
-    buckets with more than one component, the members outside the largest are compared with all members, in blocks, by
-    their signatures; agreeing pairs of different components are confirmed. So every two texts that share a band are
-    compared, or already connected.
+    buckets with more than one component, pairs of different components are compared: by their signatures, and those
+    that agree by their texts; in large buckets by their texts at once, in blocks, and only the members outside the largest
+    component with all members. So every two texts that share a band are compared, or already connected.
     """
     members = signed.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -245,19 +308,14 @@ def links(signed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     mixed = parts.groupBy("bucket").agg(
         F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("n"), F.count("*").alias("parts")
     )
-    mixed = mixed.where("parts > 1").select("bucket", F.col("main.component").alias("main"), F.col("main.size").alias("inside"), "n")
-    seen = named.drop("n").join(mixed, "bucket").join(signed.select("node", "signature"), "node")
-    seen = stored(seen.select("bucket", "node", "component", "signature", "main", "inside", "n"), "mixed")
-
-    def blocks(rows: DataFrame, size, name: str) -> DataFrame:
-        number = F.pmod(F.xxhash64("node"), F.ceil(size / BLOCK))
-        row = F.struct("node", "component", "signature")
-        return rows.groupBy("bucket", number.alias(f"{name}_block")).agg(F.collect_list(row).alias(name))
-
-    outside = blocks(seen.where("component != main"), F.col("n") - F.col("inside"), "one")
-    everyone = blocks(seen, F.col("n"), "other")
-    crossing = outside.join(everyone, "bucket").select("one", "other").mapInArrow(_crossing, "a long, b long")
-    return found.union(_confirmed(crossing.distinct(), nodes, docs))
+    mixed = mixed.where("parts > 1").select("bucket", F.col("main.component").alias("main"), "n")
+    seen = stored(named.drop("n").join(mixed, "bucket"), "mixed")
+    row = F.struct("node", "component", "signature")
+    few = seen.where(F.col("n") <= BLOCK).join(signed.select("node", "signature"), "node")
+    crossing = few.groupBy("bucket").agg(F.collect_list(row).alias("members")).mapInArrow(_crossing, "a long, b long")
+    found = found.union(_confirmed(crossing, nodes, docs))
+    crowded = seen.where(F.col("n") > BLOCK)
+    return found if crowded.isEmpty() else found.union(_crowded(crowded, nodes, docs))
 
 
 def classes(docs: DataFrame) -> DataFrame:
