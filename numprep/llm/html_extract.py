@@ -336,7 +336,10 @@ def labelled(samples: list[str], seed: int = 11) -> Iterator[tuple[list[list[str
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES) -> Field:
     """Train on at most ``sample`` pages, those with the least hash, so that the same table gives the same field."""
-    chosen = pages.where(F.col(html).isNotNull()).select(F.xxhash64(key, html).alias("h"), html).orderBy("h").limit(sample)
+    hashed = pages.where(F.col(html).isNotNull()).select(F.xxhash64(key, html).alias("h"), html)
+    # First the hashes alone, so that no task sends the driver pages that are not in the sample.
+    last = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = hashed.where(F.col("h") <= F.lit(last)).orderBy("h").limit(sample)
     return train(list(labelled([r[html] for r in chosen.collect()])))
 
 
