@@ -9,7 +9,6 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 #: Bytes and counts of words: the code points that separate words are blank, tab, line feed, VT, FF and CR.
@@ -95,6 +94,14 @@ def running_total(
     return joined.withColumn(name, F.col("_part_start") + F.col("_row_start")).drop("_part_start", "_row_start")
 
 
-def fields(df: DataFrame, *names: str) -> list[T.StructField]:
-    """Schema fields by name."""
-    return [df.schema[name] for name in names]
+def merge_runs(runs: str, start: str, stop: str) -> Column:
+    """Ascending runs (structs of two integers), with those that overlap or touch made one."""
+
+    def add(done: Column, run: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.struct(last[start].alias(start), F.greatest(last[stop], run[stop]).alias(stop))
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
+        alone = F.struct(run[start].alias(start), run[stop].alias(stop))
+        return F.when((F.size(done) > 0) & (last[stop] >= run[start]), joined).otherwise(F.concat(done, F.array(alone)))
+
+    return F.aggregate(runs, F.array().cast(f"array<struct<{start}:int,{stop}:int>>"), add)

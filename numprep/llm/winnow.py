@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from numprep.llm import textvec
-from numprep.llm.common import left_by, ship, text_key, text_of
+from numprep.llm.common import left_by, merge_runs, ship, stored, text_key, text_of
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of letters, digits and everything beyond ASCII, after A-Z became a-z.
@@ -144,27 +144,11 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    occurring = pieces.join(wanted, ["size", "window"], "left_semi")
+    occurring = stored(pieces.join(wanted, ["size", "window"], "left_semi"), "hits")
     spans = occurring.groupBy("doc_id", "_text_key").agg(
         F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("stop")))).alias("_runs")
     )
-    merged = F.aggregate(
-        "_runs",
-        F.array().cast("array<struct<start:int,stop:int>>"),
-        lambda done, r: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= r["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["stop"], r["stop"]).alias("stop"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(r["start"].alias("start"), r["stop"].alias("stop"))))),
-    )
-    spans = spans.withColumn("spans", merged).withColumn(
+    spans = spans.withColumn("spans", merge_runs("_runs", "start", "stop")).withColumn(
         "n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, r: n + (r["stop"] - r["start"]))
     )
     by_item = (
