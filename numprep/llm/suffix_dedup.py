@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from numprep.llm import textvec
-from numprep.llm.common import left_by, ship, stored, text_key, text_of
+from numprep.llm.common import left_by, merge_runs, ship, stored, text_key, text_of
 from numprep.llm.suffix_array import common_prefixes, suffix_array
 
 #: A string of so many bytes is removed wherever it is, if it starts at more than one place.
@@ -264,17 +264,8 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         "text_key", F.col("first").alias("a"), (F.col("last") + LENGTH).alias("b")
     )
     runs = F.sort_array(F.collect_set(F.struct("a", "b"))).alias("runs")
-    return stored(partly.union(wholly).groupBy("text_key").agg(runs), "runs")
-
-
-def _merged(runs: list[dict]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for run in runs:
-        if out and run["a"] <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], run["b"]))
-        else:
-            out.append((run["a"], run["b"]))
-    return out
+    found = partly.union(wholly).groupBy("text_key").agg(runs)
+    return stored(found.select("text_key", merge_runs("runs", "a", "b").alias("runs")), "runs")
 
 
 def _removing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +273,7 @@ def _removing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw = batch.column("_text").cast(pa.binary()).to_pylist()
         runs = batch.column("runs").to_pylist()
-        spans = [_merged(r) if r else [] for r in runs]
+        spans = [[(run["a"], run["b"]) for run in r or ()] for r in runs]
         kept = []
         for text, own in zip(raw, spans, strict=True):
             edges = [0, *[x for s in own for x in s], len(text)]
