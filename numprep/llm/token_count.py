@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from numprep.llm import textvec
 from numprep.llm.common import ship
-from numprep.llm.units import cut, remembered
+from numprep.llm.units import Memory, cut
 
 BLANK = "▁"
 SLICE_BYTES = 8 << 20
@@ -85,7 +85,7 @@ class PieceCounter:
         self.merger = PairMerger(ranks)
         #: No piece has a blank behind another character, so no merge reaches over the start of a run of blanks.
         self.divisible = not any(BLANK in piece.lstrip(BLANK) for piece in ranks)
-        self.memory: dict[str, int] = {}
+        self.memory = Memory(lambda kinds: [self.merger.count(k) for k in kinds])
 
     def split(self, text: str) -> list[str]:
         return re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", text) if self.divisible else [text]
@@ -99,7 +99,7 @@ class PieceCounter:
         """Tokens of each text."""
         normal = pa.array(self.processor.normalize(texts.fill_null("").to_pylist()), pa.string())
         units = cut(normal, BLANK, self.whole, self.split)
-        counts = remembered(units, self.memory, lambda kinds: [self.merger.count(k) for k in kinds])
+        counts = self.memory.results(units.kinds)
         total = np.concatenate([[0], np.cumsum(np.array(counts, np.int64)[units.which])])
         return total[units.offsets[1:]] - total[units.offsets[:-1]]
 

@@ -18,13 +18,15 @@ from pyspark.sql import window as W
 
 from numprep.llm import pfor, textvec
 from numprep.llm.common import ship, text_key, text_of
-from numprep.llm.units import cut, remembered
+from numprep.llm.units import Memory, cut
 
 #: Identifier behind the last one of each document.
 END = 0
 #: A segment closes with the first document that takes it to so many identifiers.
 SEGMENT = 1 << 18
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 6 << 20
+#: Units that are encoded as one text.
+JOINED = 512
 #: A row is a segment: which it is, where it starts in its part, its documents and where each ends, and the blocks.
 FILE_SCHEMA = "part int, segment int, start long, doc_id array<long>, stop array<long>, ids binary"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -54,7 +56,12 @@ class ByteLevelEncoder:
             and not cutter.get("add_prefix_space")
         )
         self.special = [t["content"] for t in told.get("added_tokens", [])]
-        self.memory: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        #: Bytes of each identifier: a byte-level token has a character for each, an added one its own text.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token.encode()) if token in self.special else len(token)
+        self.memory = Memory(self._encode)
 
     def whole(self, texts: pa.Array) -> pa.Array:
         if not self.divisible:
@@ -67,7 +74,7 @@ class ByteLevelEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers of all texts, each followed by ``END``, and where each text starts (one more at the end)."""
         units = cut(texts, " ", self.whole, lambda text: [text])
-        coded = remembered(units, self.memory, self._encode)
+        coded = self.memory.results(units.kinds)
         sizes = np.array([len(b) for b in coded] + [4], np.int64) // 4
         flat = np.frombuffer(b"".join([*coded, array("I", [END]).tobytes()]), np.uint32)
         which = np.insert(units.which, units.offsets[1:], len(coded))
@@ -78,8 +85,26 @@ class ByteLevelEncoder:
         return flat[textvec.ranges(first[which], counts)], total[offsets]
 
     def _encode(self, kinds: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(kinds, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        """Units that start with one blank are encoded many at a time, and told apart by the bytes of each identifier."""
+        out: list[bytes | None] = [None] * len(kinds)
+        joined = [i for i, k in enumerate(kinds) if len(k) > 1 and k[0] == " " and not k[1].isspace()]
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        texts = [[kinds[i] for i in group] for group in groups]
+        found = self.tokenizer.encode_batch_fast(["".join(t) for t in texts], add_special_tokens=False)
+        for group, text, encoding in zip(groups, texts, found, strict=True):
+            ids = np.array(encoding.ids, np.uint32)
+            reached = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+            wanted = np.concatenate([[0], np.cumsum([len(k.encode()) for k in text])])
+            cuts = np.searchsorted(reached, wanted)
+            if reached[-1] == wanted[-1] and (reached[cuts] == wanted).all():
+                raw, at = ids.tobytes(), (4 * cuts).tolist()
+                for i, a, b in zip(group, at[:-1], at[1:], strict=True):
+                    out[i] = raw[a:b]
+        rest = [i for i, done in enumerate(out) if done is None]
+        found = self.tokenizer.encode_batch_fast([kinds[i] for i in rest], add_special_tokens=False)
+        for i, encoding in zip(rest, found, strict=True):
+            out[i] = array("I", encoding.ids).tobytes()
+        return out
 
 
 _encoders: dict[int, ByteLevelEncoder] = {}
