@@ -21,7 +21,7 @@ LENGTH = 400
 ANCHOR = 300
 REACH = LENGTH - ANCHOR
 #: Contexts of one shard's suffix array.
-SHARD = 8_000
+SHARD = 4_000
 #: Rows and bytes up to which one side of a join is sent to all tasks; beyond, both sides are shuffled.
 BROADCAST_ROWS = 4_000_000
 BROADCAST_BYTES = 64 << 20

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -42,7 +42,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             row = np.ones(size, np.uint64)
             row[1:] = np.uint64(base)
             made.append(np.multiply.accumulate(row))
-        if size > 4 * SLICE_BYTES:
+        if size > 8 * SLICE_BYTES:
             return made[0], made[1]
         _powers = (made[0], made[1])
     return _powers
