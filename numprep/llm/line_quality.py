@@ -12,17 +12,13 @@ from pyspark.sql import types as T
 
 from numprep.llm import textvec
 from numprep.llm.common import left_by, ship, stored, text_key, text_of
+from numprep.llm.dart_minhash import classes
 
 #: Words of a window that counts as repeated in its text.
 REPEAT_WINDOW = 8
-#: A line that more distinct documents of a host have is removed.
+#: A line that more distinct documents of a host have is removed. Near copies of one document share its lines, and are to
+#: be kept for near-duplicate detection, so they count once.
 MAX_DOCUMENTS = 20
-#: Near copies of one document share its lines, and are to be kept for near-duplicate detection. So a line is not removed
-#: if its documents have fewer different sketches than this share of their number. Sketches of near copies (0.8 or more
-#: alike) agree in four of five cases; those of documents that share lines agree by the share that these have in them.
-LEAST_DIVERSITY = 0.25
-#: Words of a shingle of the sketch.
-SHINGLE = 5
 #: A document that lost lines is rejected if fewer words are left, or a smaller share of its words.
 LEAST_WORDS = 20
 LEAST_SHARE = 0.2
@@ -62,21 +58,6 @@ def normal_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return starts, ends, text, last - first, textvec.run_hashes(hashes, first, last)
 
 
-def _sketches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The least hash of the runs of ``SHINGLE`` folded words of each text, or of all its words if they are fewer."""
-    folded = textvec.fold(data)
-    words = textvec.find_words(folded, offsets)
-    hashes = textvec.span_hashes(folded, words.starts, words.ends)
-    out = textvec.run_hashes(hashes, words.first, words.last)
-    fits = textvec.window_fits(words, SHINGLE)
-    runs = textvec.window_hashes(hashes, SHINGLE)[fits]
-    text = words.text_of_word()[: len(fits)][fits]
-    if len(runs):
-        heads = np.flatnonzero(np.diff(text, prepend=-1))
-        out[text[heads]] = np.minimum.reduceat(runs, heads)
-    return out
-
-
 def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The counts of ``_COUNTS`` for each text."""
     words = textvec.find_words(data, offsets)
@@ -103,7 +84,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key columns ..., text) to the key columns, the counts, the sketch, and hash and words of each different line."""
+    """(key columns ..., text) to the key columns, the counts, and hash and words of each different line."""
     for batch in batches:
         data, offsets = textvec.utf8(batch.column(batch.num_columns - 1))
         for a, b in textvec.slices(offsets):
@@ -124,13 +105,13 @@ def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
                 + [pa.array(x.astype(np.int64)) for x in _measure(part, own)]
-                + [pa.array(textvec.signed(_sketches(part, own))), pa.ListArray.from_arrays(pa.array(ends), lines)],
-                names=[*batch.schema.names[:-1], *_COUNTS, "sketch", "lines"],
+                + [pa.ListArray.from_arrays(pa.array(ends), lines)],
+                names=[*batch.schema.names[:-1], *_COUNTS, "lines"],
             )
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Stored rows (row, doc_id, host, text_key, counts ..., sketch, lines) of all documents; ``row`` tells them apart."""
+    """Stored rows (row, doc_id, host, text_key, counts ..., lines) of all documents; ``row`` tells them apart."""
     ship(docs.sparkSession)
     keyed = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -143,25 +124,31 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     host_kind = docs.schema[host].dataType.simpleString()
     counts = ", ".join(f"{name} long" for name in _COUNTS)
     schema = (
-        f"row long, doc_id {kind}, host {host_kind}, text_key binary, {counts}, sketch long, "
+        f"row long, doc_id {kind}, host {host_kind}, text_key binary, {counts}, "
         "lines array<struct<line: long, words: long>>"
     )
     return stored(keyed.mapInArrow(_measuring, schema), "lines")
 
 
-def common_lines(measured: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+def common_lines(measured: DataFrame, docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """Rows (host, line) that more than ``max_documents`` distinct documents of the host have.
 
-    Equal texts are one document, and near copies do not count as far as ``LEAST_DIVERSITY`` tells them. Rows are counted in three steps, each with
-    partial sums before its shuffle, so a line that a third of all documents have is never in one task.
+    Equal texts are one document, and so are near copies: texts of one class of near-duplicates, among all texts that have
+    a line of more than ``max_documents`` texts of a host. Only these are compared, so a chain of near copies is not
+    followed through a text that has no such line. Rows are counted with partial sums before each shuffle, so a line that
+    a third of all documents have is never in one task.
     """
-    seen = measured.select("host", "text_key", "sketch", F.explode("lines.line").alias("line"))
-    documents = seen.groupBy("host", "line", "sketch", "text_key").agg(F.lit(1).alias("one"))
-    sketches = documents.groupBy("host", "line", "sketch").agg(F.count("*").alias("documents"))
-    lines = sketches.groupBy("host", "line").agg(F.count("*").alias("sketches"), F.sum("documents").alias("documents"))
-    return lines.where(
-        (F.col("documents") > max_documents) & (F.col("sketches") >= F.col("documents") * LEAST_DIVERSITY)
-    ).select("host", "line")
+    seen = measured.select("host", "text_key", F.explode("lines.line").alias("line"))
+    texts = seen.groupBy("host", "line", "text_key").agg(F.lit(1).alias("one"))
+    often = texts.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > max_documents)
+    often = stored(often.select("host", "line"), "often")
+    having = stored(left_by(seen, often, ["host", "line"], "left_semi").distinct(), "having")
+    keyed = docs.select(text_key().alias("doc_id"), text_of().alias("text"))
+    chosen = keyed.join(having.select(F.col("text_key").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    copies = classes(chosen).select("text_key", "class_id").distinct()
+    documents = having.join(copies, "text_key").groupBy("host", "line", "class_id").agg(F.lit(1).alias("one"))
+    lines = documents.groupBy("host", "line").agg(F.count("*").alias("documents"))
+    return lines.where(F.col("documents") > max_documents).select("host", "line")
 
 
 def judge_documents(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
@@ -172,7 +159,7 @@ def judge_documents(docs: DataFrame, host: str = "source", max_documents: int =
     empty, a missing host is a host, and repeated rows come back repeated.
     """
     measured = measure(docs, host)
-    common = common_lines(measured, max_documents)
+    common = common_lines(measured, docs, max_documents)
     lines = measured.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
     lost = (
         left_by(lines, common, ["host", "line"], "left_semi")

@@ -108,6 +108,18 @@ def test_copies_and_near_copies_are_not_rejected(documents):
     assert all(r.kept and r.removed is None for r in judge_documents(documents(rows)).collect())
 
 
+def test_a_line_of_unrelated_documents_is_removed_whatever_its_share(documents):
+    rows = []
+    for share in (25, 50, 80):
+        for seed in range(30):
+            draw = random.Random(100 * share + seed)
+            shared = words(draw, 2 * share)
+            rows += [(len(rows) + i, f"{words(draw, 200 - 2 * share)}\n{shared}", f"{share}-{seed}") for i in range(24)]
+    got = judge_documents(documents(rows)).collect()
+    assert len(got) == len(rows)
+    assert not [(r.doc_id, r.host) for r in got if r.words_left != 200 - 2 * int(r.host.split("-")[0])]
+
+
 def test_empty_table_and_repeated_rows(documents):
     assert judge_documents(documents([])).collect() == []
     assert keep_good(documents([])).collect() == []
