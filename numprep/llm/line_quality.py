@@ -145,7 +145,8 @@ def common_lines(measured: DataFrame, docs: DataFrame, max_documents: int = MAX_
     having = stored(left_by(seen, often, ["host", "line"], "left_semi").distinct(), "having")
     keyed = docs.select(text_key().alias("doc_id"), text_of().alias("text"))
     chosen = keyed.join(having.select(F.col("text_key").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    copies = classes(chosen).select("text_key", "class_id").distinct()
+    # Classes are found in several passes over the texts.
+    copies = classes(stored(chosen, "chosen")).select("text_key", "class_id").distinct()
     documents = having.join(copies, "text_key").groupBy("host", "line", "class_id").agg(F.lit(1).alias("one"))
     lines = documents.groupBy("host", "line").agg(F.count("*").alias("documents"))
     return lines.where(F.col("documents") > max_documents).select("host", "line")

@@ -120,6 +120,24 @@ def test_a_line_of_unrelated_documents_is_removed_whatever_its_share(documents):
     assert not [(r.doc_id, r.host) for r in got if r.words_left != 200 - 2 * int(r.host.split("-")[0])]
 
 
+def test_near_copies_do_not_hide_a_line_of_unrelated_documents(documents):
+    draw = random.Random(17)
+    footer = words(draw, 10)
+    base = words(draw, 200).split()
+    rows = [(0, f"{' '.join(base)}\n{footer}")]
+    for i in range(1, 600):
+        copy = list(base)
+        for k in draw.sample(range(200), 3):
+            copy[k] = words(draw, 1)
+        rows.append((i, f"{' '.join(copy)}\n{footer}"))
+    # The near copies are one document, so this host's footer stays.
+    rows = [(*r, "copies") for r in rows] + [(1000 + i, text, "both") for i, text in rows]
+    rows += [(2000 + i, f"{words(draw, 200)}\n{footer}", "both") for i in range(40)]
+    got = judge_documents(documents(rows)).collect()
+    assert len(got) == len(rows) and all(r.kept for r in got)
+    assert not [(r.doc_id, r.host) for r in got if r.words_left != (210 if r.host == "copies" else 200)]
+
+
 def test_empty_table_and_repeated_rows(documents):
     assert judge_documents(documents([])).collect() == []
     assert keep_good(documents([])).collect() == []
