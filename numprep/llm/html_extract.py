@@ -27,7 +27,10 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-_SILENT = frozenset("script style template title textarea iframe noembed noframes svg math object audio video canvas".split())
+_SILENT = frozenset("script style template title textarea iframe noembed noframes".split())
+#: Elements in a line of text whose content is text: of blocks of their own, which end no paragraph, or of the block they are in.
+_EMBEDDED = frozenset("object audio video canvas".split())
+_INLINE = frozenset("svg math".split())
 #: A start tag of the key ends an open element of these names, up to one of those after the bar.
 _ENDS = {
     "li": ("li", "ul ol menu dir"),
@@ -54,6 +57,7 @@ class Block:
     path: tuple[str, ...]
     linked: int
     truth: int | None
+    holds: tuple[str, ...] = ()
 
 
 def leaf_blocks(page: str) -> list[Block]:
@@ -61,18 +65,20 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, str, int | None]] = []  # name, names given by attributes, label
     parts: list[str] = []
+    holds: set[str] = set()
     links = linked = 0
     at, end = 0, len(page)
 
     def close() -> None:
-        nonlocal parts, linked
+        nonlocal parts, holds, linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 path = tuple(s[0] + s[1] for s in stack)
                 truth = next((s[2] for s in reversed(stack) if s[2] is not None), None)
-                blocks.append(Block(text, path, linked, truth))
+                blocks.append(Block(text, path, linked, truth, tuple(sorted(holds))))
             parts, linked = [], 0
+        holds = set()
 
     while at < end:
         found = _TAG.search(page, at)
@@ -91,12 +97,13 @@ def leaf_blocks(page: str) -> list[Block]:
         if found.group(1):
             if name == "a":
                 links = max(0, links - 1)
-            elif name in _BLOCKS:
+            elif name in _BLOCKS or name in _EMBEDDED:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == name:
                         close()
                         del stack[i:]
-                        links = 0
+                        if name in _BLOCKS:
+                            links = 0
                         break
                 else:
                     close()
@@ -110,9 +117,11 @@ def leaf_blocks(page: str) -> list[Block]:
             links = 1
         elif name == "br":
             parts.append(" ")
-        elif name in _BLOCKS:
+        elif name in _INLINE:
+            holds.add(name)
+        elif name in _BLOCKS or name in _EMBEDDED:
             close()
-            if stack and stack[-1][0] == "p":
+            if name in _BLOCKS and stack and stack[-1][0] == "p":
                 stack.pop()
             if name in _ENDS:
                 own, border = _ENDS[name]
@@ -152,7 +161,7 @@ def _text_features(block: Block) -> list[str]:
         out.append("sentence")
     if "©" in block.text:
         out.append("copyright")
-    return out
+    return out + ["holds:" + name for name in block.holds]
 
 
 def features(blocks: list[Block]) -> list[list[str]]:

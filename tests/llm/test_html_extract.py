@@ -34,6 +34,29 @@ def test_blocks():
     assert leaf_blocks("<nav class='Top-Menu'><a href=x>one two</a></nav>")[0].path == ("nav.top.menu",)
 
 
+def test_only_raw_text_elements_are_silent():
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, and on</p>") == ["so x=2, and on"]
+    assert texts("<p><svg><title>t</title><style>s</style><text>a</text></svg> b</p>") == ["a b"]
+    for name in ("object", "audio", "video", "canvas"):
+        assert texts(f"<p>a</p><{name} x=y>b</{name}><p>c</p>") == ["a", "b", "c"]
+        assert texts(f"<p>a</p><{name} x=y><p>b<p>c") == ["a", "b", "c"]
+        assert leaf_blocks(f"<p>a<{name}>b</{name}>c</p>")[1].path == ("p", name)
+        assert leaf_blocks(f"<p>a<{name}>b</{name}>c</p>")[2].path == ("p",)
+    for name in ("svg", "math"):
+        assert texts(f"<p>a</p><{name}><p>b<p>c") == ["a", "b", "c"]
+        assert leaf_blocks(f"<p>a<{name}>b</{name}></p><p>c</p>")[0].holds == (name,)
+        assert leaf_blocks(f"<p>a<{name}>b</{name}></p><p>c</p>")[1].holds == ()
+
+
+def test_articles_with_formulas_and_unclosed_elements(field):
+    menu, end = "<nav><ul><li><a href=x>Home</a></li></ul></nav>", "<footer><p>© us</p></footer>"
+    for tag in ("<object data=x>", "<video src=x>", "<svg>"):
+        page = f"{menu}<article><h1>One</h1><p>A sentence of some words.</p>{tag}<p>And one more of them.</p></article>{end}"
+        assert main_text(field, page) == "One A sentence of some words. And one more of them."
+    page = f"{menu}<article><h1>One</h1><p>We know <math><mi>x</mi><mo>=</mo><mn>2</mn></math> of it.</p></article>{end}"
+    assert main_text(field, page) == "One We know x=2 of it."
+
+
 def expected(page):
     """Of the given pages, the article's blocks by another way."""
     article = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
