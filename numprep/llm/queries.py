@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from numprep.llm.alignment import align_tokens
 from numprep.llm.common import shared_folder, stored
 from numprep.llm.dart_minhash import classes
 from numprep.llm.html_extract import extract
@@ -156,3 +157,9 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    models = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokens(table(spark, folder, "documents"), *models)

@@ -64,8 +64,9 @@ def cut(texts: pa.Array, blank: str, whole: Callable[[pa.Array], pa.Array], spli
 class Memory:
     """Results of kinds met lately: when the newer generation is full it becomes the older one, which is forgotten."""
 
-    def __init__(self, compute: Callable[[list[str]], list]):
+    def __init__(self, compute: Callable[[list[str]], list], remembered: int = REMEMBERED):
         self.compute = compute
+        self.remembered = remembered
         self.newer: dict = {}
         self.older: dict = {}
 
@@ -81,7 +82,7 @@ class Memory:
         fresh = self.compute(names)
         for i, found in zip(missing, fresh, strict=True):
             out[i] = found
-        if len(newer) + len(names) > REMEMBERED:
+        if len(newer) + len(names) > self.remembered:
             self.older, self.newer = newer, {}
         self.newer.update(zip(names, fresh, strict=True))
         return out
