@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from numprep.llm.alignment import align_tokens
+from numprep.llm.collocations import collocations
 from numprep.llm.common import shared_folder, stored
 from numprep.llm.dart_minhash import classes
 from numprep.llm.html_extract import extract
@@ -163,3 +164,38 @@ def op2_html_extract(spark: SparkSession, folder: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     models = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return align_tokens(table(spark, folder, "documents"), *models)
+
+
+@query(r"""
+with d as (
+    select coalesce(lang, 'und') as lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces from documents),
+p as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from (select lang, unnest(pieces) as piece from d)),
+s as (select lang, words, unnest(range(1, len(words) + 1)) as i from p),
+o as (
+    select lang, size, array_to_string(words[i:i + size - 1], ' ') as phrase from s, range(1, 5) t(size)
+    where i + size - 1 <= len(words)),
+f as (select lang, phrase, size, count(*) as f from o group by all having count(*) >= 30),
+n as (select lang, sum(len(words))::bigint as n from p group by lang),
+w as (select lang, phrase, size, f, string_split(phrase, ' ') as words from f where size > 1),
+c as (
+    select w.lang, w.phrase, w.f as a, k, x.f as l, y.f as r, (2000000::hugeint * w.f // (x.f + y.f))::bigint as score
+    from w, range(1, 4) t(k)
+    join f x on x.lang = w.lang and x.phrase = array_to_string(w.words[1:k], ' ')
+    join f y on y.lang = w.lang and y.phrase = array_to_string(w.words[k + 1:], ' ')
+    where k < w.size),
+b as (select * from c qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+g as (
+    select lang, phrase, max(f) as f from (
+        select lang, array_to_string(words[i:i + m - 1], ' ') as phrase, f from w, range(1, 4) t(i), range(2, 4) u(m)
+        where m < size and i + m - 1 <= size)
+    group by all)
+select b.lang, row_number() over best as rank, b.phrase, a, l, r, n, score
+from b join n using (lang) left join g on g.lang = b.lang and g.phrase = b.phrase
+where g.f is null or 100::hugeint * g.f < 80::hugeint * a
+window best as (partition by b.lang order by score desc, a desc, encode(b.phrase))
+qualify row_number() over best <= 2000
+""")
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
