@@ -16,6 +16,7 @@ from numprep.llm.html_extract import extract
 from numprep.llm.kd_shards import shard
 from numprep.llm.line_quality import judge_documents
 from numprep.llm.mixing import measured, mix
+from numprep.llm.quality_model import score_quality
 from numprep.llm.registry import ORACLES, QUERIES, query, table
 from numprep.llm.suffix_dedup import remove_repeats
 from numprep.llm.token_count import count_tokens
@@ -199,3 +200,8 @@ qualify row_number() over best <= 2000
 """)
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(table(spark, folder, "documents"))
+
+
+@query()
+def op12_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
