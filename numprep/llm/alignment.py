@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,7 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-@dataclass
-class Aligned:
+class Aligned(NamedTuple):
     """One text: tokens of either side, groups as text, and the linked pairs as numbers (bytes of int64)."""
 
     n_a: int
@@ -95,19 +95,20 @@ class Aligner:
     def _cuts(self, text: str, coded_a, proto) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         whole = b" " + text.encode()
         ids_a = np.array(coded_a.ids, np.int64)
-        ids_b = np.array([p.id for p in proto.pieces], np.int64)
+        pieces = list(proto.pieces)
+        ids_b = np.array([p.id for p in pieces], np.int64)
         if b"".join([self.bytes_a[i] for i in ids_a.tolist()]) != whole:
             return None
         if b"".join([self.bytes_b[i] for i in ids_b.tolist()]) != whole:
             return None
         # Coarse cuts. A counts characters with the blank in front, B counts bytes without it.
-        spans_a = np.array(coded_a.offsets, np.int64).reshape(-1, 2)
+        spans_a = np.fromiter(chain.from_iterable(coded_a.offsets), np.int64, 2 * len(ids_a)).reshape(-1, 2)
         ascii_only = len(whole) == len(text) + 1
         if not ascii_only:
             points = np.frombuffer((" " + text).encode("utf-32-le"), np.uint32)
             width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
             spans_a = np.concatenate([[0], np.cumsum(width)])[spans_a]
-        spans_b = np.array([(p.begin, p.end) for p in proto.pieces], np.int64).reshape(-1, 2) + 1
+        spans_b = np.array([[p.begin for p in pieces], [p.end for p in pieces]], np.int64).T + 1
         spans_b[0, 0] = 0
         cuts = np.intersect1d(_ends(spans_a), _ends(spans_b))
         if ascii_only:
@@ -121,22 +122,28 @@ class Aligner:
         ends, segment = ends[inside], segment[inside]
         return ids_a, ids_b, np.union1d(cuts, ends[wide[bounds[segment + 1]] > wide[bounds[segment]]])
 
-    def _aligned(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts: np.ndarray, start: int) -> Aligned:
-        """Groups of tokens that cover the bytes from ``start`` to the last cut."""
-        to_a = np.searchsorted(np.cumsum(self.sizes_a[ids_a]), cuts - start, "right").tolist()
-        to_b = np.searchsorted(np.cumsum(self.sizes_b[ids_b]), cuts - start, "right").tolist()
+    def _groups(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts: np.ndarray) -> tuple[list[int], list[int], list[str], bytes]:
+        """For each cut the tokens of either side before it, its group as text, and the pair it links."""
+        to_a = np.searchsorted(np.cumsum(self.sizes_a[ids_a]), cuts, "right")
+        to_b = np.searchsorted(np.cumsum(self.sizes_b[ids_b]), cuts, "right")
+        pairs = (ids_a[to_a - 1] * _RADIX + ids_b[to_b - 1]).tobytes()
+        to_a, to_b = to_a.tolist(), to_b.tolist()
         named_a, named_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        groups, pairs, i, j = [], [], 0, 0
+        groups, i, j = [], 0, 0
         for x, y in zip(to_a, to_b, strict=True):
-            groups.append(f"{','.join(named_a[i:x])}|{','.join(named_b[j:y])}")
+            left = named_a[i] if x - i == 1 else ",".join(named_a[i:x])
+            right = named_b[j] if y - j == 1 else ",".join(named_b[j:y])
+            groups.append(f"{left}|{right}")
             i, j = x, y
-        pairs = ids_a[np.array(to_a) - 1] * _RADIX + ids_b[np.array(to_b) - 1]
-        return Aligned(len(ids_a), len(ids_b), ";".join(groups), pairs.tobytes())
+        return to_a, to_b, groups, pairs
 
     def text(self, text: str) -> Aligned | None:
         """A whole text; None if the bytes of its tokens are not those of a blank and the text."""
         found = self._encode([text])[0]
-        return self._aligned(*found, 0) if found is not None and len(found[2]) else None
+        if found is None or not len(found[2]):
+            return None
+        _, _, groups, pairs = self._groups(*found)
+        return Aligned(len(found[0]), len(found[1]), ";".join(groups), pairs)
 
     def _words(self, words: list[str]) -> list[Aligned | bool]:
         """Words, as if each stood behind a blank: many are encoded as one text and told apart by their bytes.
@@ -155,12 +162,12 @@ class Aligner:
         at = np.searchsorted(cuts, stops)
         if at[-1] >= len(cuts) or (cuts[at] != stops).any():
             return None
-        to_a = np.searchsorted(np.cumsum(self.sizes_a[ids_a]), stops, "right").tolist()
-        to_b = np.searchsorted(np.cumsum(self.sizes_b[ids_b]), stops, "right").tolist()
-        out, a, b, cut, start = [], 0, 0, 0, 0
-        for x, y, stop, reached in zip(to_a, to_b, (at + 1).tolist(), stops.tolist(), strict=True):
-            out.append(self._aligned(ids_a[a:x], ids_b[b:y], cuts[cut:stop], start))
-            a, b, cut, start = x, y, stop, reached
+        to_a, to_b, groups, pairs = self._groups(ids_a, ids_b, cuts)
+        out, a, b, cut = [], 0, 0, 0
+        for stop in (at + 1).tolist():
+            x, y = to_a[stop - 1], to_b[stop - 1]
+            out.append(Aligned(x - a, y - b, ";".join(groups[cut:stop]), pairs[8 * cut : 8 * stop]))
+            a, b, cut = x, y, stop
         return out
 
     def batch(self, texts: pa.Array) -> list[tuple[list[Aligned | bool | None], np.ndarray, np.ndarray]]:
@@ -222,9 +229,11 @@ def _digests(aligner: Aligner, keys: pa.Array, texts: pa.Array, row: int) -> pa.
     keep = np.repeat(has, np.diff(offsets))
     text_of = np.repeat(np.arange(n), np.diff(offsets))[keep]
     which = which[keep]
-    sizes = np.array([(f.n_a, f.n_b, len(f.pairs) // 8) if f else (0, 0, 0) for f in found], np.int64).reshape(-1, 3)
+    nothing = Aligned(0, 0, "", b"")
+    found = [f or nothing for f in found]
+    sizes = np.array([[f[0] for f in found], [f[1] for f in found], [len(f[3]) // 8 for f in found]], np.int64).T
     n_a, n_b, links = (np.bincount(text_of, sizes[which, i], n).astype(np.int64) for i in range(3))
-    flat = np.frombuffer(b"".join([f.pairs if f else b"" for f in found]), np.int64)
+    flat = np.frombuffer(b"".join([f[3] for f in found]), np.int64)
     counts = sizes[which, 2]
     first = np.cumsum(sizes[:, 2]) - sizes[:, 2]
     pairs = flat[textvec.ranges(first[which], counts)]
@@ -232,7 +241,7 @@ def _digests(aligner: Aligner, keys: pa.Array, texts: pa.Array, row: int) -> pa.
     kinds, named = np.unique(pairs, return_inverse=True)
     both, times = np.unique(np.repeat(text_of, counts) * max(len(kinds), 1) + named, return_counts=True)
     starts = np.searchsorted(both, np.arange(n + 1) * max(len(kinds), 1)).astype(np.int32)
-    groups = np.array([f.groups if f else "" for f in found] + [""], object)[which].tolist()
+    groups = np.array([f[2] for f in found] + [""], object)[which].tolist()
     bounds = np.concatenate([[0], np.cumsum(np.where(has, np.diff(offsets), 0))]).tolist()
     digests = [
         hashlib.sha256(";".join(groups[a:b]).encode()).hexdigest() if b > a else "" for a, b in zip(bounds[:-1], bounds[1:])
