@@ -22,7 +22,9 @@ SHARDS = 10
 WORDS_PER_RANGE = 2_000_000
 #: Candidates that are sent to all tasks (8 bytes each); beyond, occurrences and candidates are joined by a shuffle.
 BROADCAST_ROWS = 4_000_000
-SLICE_BYTES = 8 << 20
+#: Text that is worked on at once, and phrases that are counted together before they are sent.
+SLICE_BYTES = 1 << 20
+HELD = 4_000_000
 _SALTS = 64
 
 #: Bytes that end a piece, and bytes between words of a piece.
@@ -93,33 +95,43 @@ def _phrase_hashes(run: Run, longest: int) -> Iterator[tuple[int, np.ndarray, np
         yield size, starts, textvec.window_hashes(run.hashes, size)[starts]
 
 
+def _bits(ranges: int) -> int:
+    return _KEY_BITS + ranges.bit_length() - 1
+
+
 def _keys(hashes: np.ndarray, ranges: int) -> np.ndarray:
     """Range (a power of two of them) and 32 bits within it, as one ascending number."""
-    bits = ranges.bit_length() - 1
-    return hashes >> np.uint64(64 - _KEY_BITS - bits)
+    return hashes >> np.uint64(64 - _bits(ranges))
 
 
 def _local_counts(longest: int, ranges: int):
     """(text, lang, shard) to one row per range and shard: different phrase keys in it, ascending, with their counts.
 
-    A count is a byte; a key that occurs more often is repeated.
+    A count is a byte; a key that occurs more often is repeated. Rows are sent for every ``HELD`` phrases.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             _, numbers, salts = _numbered(batch.column(1))
-            shards = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            shards = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64) << np.uint64(_bits(ranges))
             for a, b, words in _runs(batch.column(0), numbers, salts):
                 shard_of = shards[a:b][words.words.text_of_word()]
                 for _, starts, hashes in _phrase_hashes(words, longest):
-                    keys, of = _keys(hashes, ranges), shard_of[starts]
-                    for shard in np.unique(of).tolist():
-                        yield _packed(shard, *np.unique(keys[of == shard], return_counts=True), ranges)
+                    held.append(_keys(hashes, ranges) | shard_of[starts])
+                    size += len(starts)
+                if size >= HELD:
+                    yield _packed(np.concatenate(held), ranges)
+                    held, size = [], 0
+        if size:
+            yield _packed(np.concatenate(held), ranges)
 
     return run
 
 
-def _packed(shard: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.RecordBatch:
+def _packed(keys: np.ndarray, ranges: int) -> pa.RecordBatch:
+    keys, counts = np.unique(keys, return_counts=True)
     more = (counts - 1) // 255
     if more.any():
         keys = np.repeat(keys, more + 1)
@@ -127,15 +139,15 @@ def _packed(shard: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa
         rest = np.full(len(keys), 255, np.uint8)
         rest[last] = counts - 255 * more
         counts = rest
-    low = (keys & np.uint64((1 << _KEY_BITS) - 1)).astype(np.uint32)
-    bounds = np.searchsorted(keys, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(_KEY_BITS))
-    used = np.flatnonzero(np.diff(bounds))
-    parts = [(low[bounds[r] : bounds[r + 1]].tobytes(), counts[bounds[r] : bounds[r + 1]].astype(np.uint8).tobytes()) for r in used]
+    cells = keys >> np.uint64(_KEY_BITS)  # shard and range
+    bounds = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [len(cells)]])
+    low, counts = (keys & np.uint64((1 << _KEY_BITS) - 1)).astype(np.uint32), counts.astype(np.uint8)
+    used = cells[bounds[:-1]].astype(np.int64)
     columns = [
-        pa.array(used.astype(np.int64)),
-        pa.array(np.full(len(used), shard, np.int64)),
-        pa.array([p[0] for p in parts], pa.binary()),
-        pa.array([p[1] for p in parts], pa.binary()),
+        pa.array(used % ranges),
+        pa.array(used // ranges),
+        pa.array([low[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+        pa.array([counts[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["range", "shard", "keys", "counts"])
 

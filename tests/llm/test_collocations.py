@@ -79,7 +79,7 @@ def test_against_counting_by_hand(spark, seed, support, longest, top):
 
 @pytest.mark.parametrize(("slice_bytes", "per_range", "sent"), [(64, 50, 4), (1 << 20, 10, 10_000), (1, 10_000, 0)])
 def test_slices_ranges_and_shuffled_candidates(spark, monkeypatch, slice_bytes, per_range, sent):
-    for name, value in (("SLICE_BYTES", slice_bytes), ("WORDS_PER_RANGE", per_range), ("BROADCAST_ROWS", sent)):
+    for name, value in (("SLICE_BYTES", slice_bytes), ("HELD", slice_bytes), ("WORDS_PER_RANGE", per_range), ("BROADCAST_ROWS", sent)):
         monkeypatch.setattr(module, name, value)
     docs = _docs(7)
     expected = {k: a for k, a in _counts(docs)[0].items() if a >= 12}
