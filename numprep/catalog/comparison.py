@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from numprep.catalog.registry import query, table
-from numprep.operators import diff_rows, diff_summary
+from numprep.operators import diff_repeated, diff_rows, diff_summary, pair_repeated
 
 # The second table: some prices and statuses changed, some keys moved, and expensive orders doubled.
 _CHANGED_SQL = """changed as (
@@ -111,3 +111,73 @@ def diff_exact(spark: SparkSession, folder: str) -> DataFrame:
     other = orders.select("o_orderkey", (wide + key % 2).alias("id"), changed.alias("price"), rate)
     summary = diff_summary(one, other, keys=["o_orderkey"], tolerance=1e-12)
     return summary.drop("left_only", "right_only", "duplicate_keys")
+
+
+# Lines of an order repeat their number. In the second table some quantities, parts and flags are changed, some lines are
+# missing and some doubled.
+_LINES_SQL = """one as (
+  select l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag from lineitem),
+other as (
+  select l_orderkey, l_linenumber, case when l_suppkey % 11 = 0 then null else l_partkey end as l_partkey,
+    case when l_partkey % 7 = 0 then l_quantity + l_linenumber else l_quantity end as l_quantity,
+    case when l_partkey % 5 = 0 then 'X' when l_partkey % 13 = 0 then null else l_returnflag end as l_returnflag
+  from lineitem where l_partkey % 17 != 0
+  union all select l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag from lineitem where l_partkey % 19 = 0),
+counted as (
+  select l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag, sum(n_l) as n_l, sum(n_r) as n_r
+  from (select *, 1 as n_l, 0 as n_r from one union all select *, 0, 1 from other) group by all),
+spread as (
+  select *, case when n_l > n_r then 'l' else 'r' end as side, md5(concat_ws(chr(31), coalesce('=' || l_partkey, '-'),
+    coalesce('=' || l_quantity, '-'), coalesce('=' || l_returnflag, '-'))) as digest, unnest(range(abs(n_l - n_r)::bigint)) as copy
+  from counted where n_l != n_r),
+ranked as (
+  select *, row_number() over (partition by l_orderkey, l_linenumber, side order by digest, copy) as place from spread),
+pairs as (
+  select a.l_orderkey, a.l_linenumber, a.l_partkey as lp, b.l_partkey as rp, a.l_quantity as lq, b.l_quantity as rq,
+    a.l_returnflag as lf, b.l_returnflag as rf
+  from ranked a join ranked b on a.side = 'l' and b.side = 'r' and a.l_orderkey = b.l_orderkey
+    and a.l_linenumber = b.l_linenumber and a.place = b.place)"""
+
+
+def _lines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    df = table(spark, folder, "lineitem")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"]
+    part, quantity, flag = (F.col(name) for name in columns[2:])
+    changed = df.where(part % 17 != 0).select(
+        *columns[:2],
+        F.when(F.col("l_suppkey") % 11 != 0, part).alias("l_partkey"),
+        F.when(part % 7 == 0, quantity + F.col("l_linenumber")).otherwise(quantity).alias("l_quantity"),
+        F.when(part % 5 == 0, "X").when(part % 13 == 0, F.lit(None)).otherwise(flag).alias("l_returnflag"),
+    )
+    return df.select(columns), changed.unionByName(df.where(part % 19 == 0).select(columns))
+
+
+@query(f"""
+with {_LINES_SQL},
+totals as (
+  select sum(least(n_l, n_r))::bigint as equal_rows, sum(greatest(n_l - n_r, 0))::bigint as more_left,
+    sum(greatest(n_r - n_l, 0))::bigint as more_right, (select count(*) from pairs) as paired from counted),
+measured as (
+  select 'l_partkey' as column_name, 'number' as kind, max(abs(lp - rp))::double as max_abs_diff,
+    count(*) filter (lp != rp) as mismatches, count(*) filter ((lp is null) != (rp is null)) as null_mismatches from pairs
+  union all
+  select 'l_quantity', 'number', max(abs(lq - rq)), count(*) filter (abs(lq - rq) > 1e-6), 0 from pairs
+  union all
+  select 'l_returnflag', 'text', null, count(*) filter (lf is distinct from rf),
+    count(*) filter ((lf is null) != (rf is null)) from pairs)
+select column_name, kind, equal_rows, paired, more_left - paired as left_only, more_right - paired as right_only, max_abs_diff,
+  mismatches, null_mismatches from measured, totals
+""")
+def diff_repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return diff_repeated(*_lines(spark, folder), keys=["l_orderkey", "l_linenumber"])
+
+
+@query(f"""
+with {_LINES_SQL}
+select l_orderkey, l_linenumber, lp as left_l_partkey, rp as right_l_partkey, lq as left_l_quantity, rq as right_l_quantity,
+  lf as left_l_returnflag, rf as right_l_returnflag, count(*) as rows from pairs group by all
+""")
+def paired_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of one pair of rows that meet at several places count together."""
+    pairs = pair_repeated(*_lines(spark, folder), keys=["l_orderkey", "l_linenumber"])
+    return pairs.groupBy(*pairs.columns[:-1]).agg(F.sum("rows").alias("rows"))

@@ -19,6 +19,7 @@ from numprep.operators import (
     speed_up,
     split_by_phase,
     summarize,
+    timing_cells,
     timing_table,
 )
 from numprep.operators import telemetry as fixed
@@ -116,6 +117,61 @@ def samples_by_phase(spark: SparkSession, folder: str) -> DataFrame:
     return split_by_phase(_timed(spark, folder), _bounds(spark, folder), "user_id", "moment")
 
 
+# Many phases: every day of a user is one, and nothing names them beforehand. A sample is in the day's phase of its user.
+_DAYS_SQL = f"""
+with timed as (select *, strftime(ts, '%Y-%m-%d') as day from events),
+lengths as (
+  select user_id, day as phase, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6::double as length from timed group by all),
+placed as (
+  select user_id, phase, length, coalesce(sum(length) over (partition by user_id order by phase
+    rows between unbounded preceding and 1 preceding), 0.0) as start from lengths)"""
+
+
+def _day_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").select("user_id", "ts", F.date_format("ts", "yyyy-MM-dd").alias("phase"))
+    durations = phase_durations(events, "user_id", "phase", "ts")
+    first = F.to_date(F.lit("2024-01-01"))
+    days = durations.select("phase").distinct().withColumn("position", F.date_diff(F.to_date("phase"), first))
+    return phase_bounds(durations, "user_id", "phase", "duration", days)
+
+
+@query(_DAYS_SQL + """
+select user_id, phase, round_even(start * 1000.0, 0) / 1000.0 as start,
+  round_even((start + length) * 1000.0, 0) / 1000.0 as "end" from placed""")
+def phases_of_any_name(spark: SparkSession, folder: str) -> DataFrame:
+    bounds = _day_bounds(spark, folder)
+    return bounds.withColumns({name: round_places(F.col(name), 3) for name in ("start", "end")})
+
+
+# A hot source with many phases: all users but some are one, and each of its hours with an error is a phase.
+_WINDOWS_SQL = f"""
+with samples as (
+  select event_id, case when user_id % 10 > 0 then 0 else user_id end as host, (epoch_us(ts) - {_MONTH_START}) / 1e6::double as at
+  from events),
+windows as (
+  select case when user_id % 10 > 0 then 0 else user_id end as host, event_id as phase,
+    (epoch_us(ts) - {_MONTH_START}) / 1e6::double as start,
+    (epoch_us(ts) - {_MONTH_START}) / 1e6::double + value * (case when event_id % 97 = 0 then 100 else 1 end) as "end"
+  from events where event_type = 'error')
+select s.event_id, s.host, s.at, w.phase from samples s join windows w on s.host = w.host and s.at between w.start and w."end"
+"""
+
+
+@query(_WINDOWS_SQL)
+def samples_in_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """The samples that follow each error, within as many seconds as its value says, and a few windows much longer."""
+    events = table(spark, folder, "events")
+    micros, per_second = ticks(F.col("ts"), events.schema["ts"].dataType)
+    at = (micros - _MONTH_START) / per_second
+    host = F.when(F.col("user_id") % 10 > 0, F.lit(0)).otherwise(F.col("user_id")).alias("host")
+    samples = events.select("event_id", host, at.alias("at"))
+    longer = F.when(F.col("event_id") % 97 == 0, F.lit(100)).otherwise(F.lit(1))
+    windows = events.where(F.col("event_type") == "error").select(
+        host, F.col("event_id").alias("phase"), at.alias("start"), (at + F.col("value") * longer).alias("end")
+    )
+    return split_by_phase(samples, windows, "host", "at")
+
+
 @query(f"""
 with timed as (select event_id, user_id, event_type, {_OFFSET_SQL} as moment, value from events),
 durations as ({_DURATIONS_SQL}),
@@ -233,3 +289,33 @@ def timings(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     sums = timing_table(orders, "o_orderpriority", "o_orderstatus", "o_totalprice", _STATUSES)
     return sums.select("operation", *[round_places(F.col(f"{s}_time"), 2).alias(f"{s}_time") for s in _STATUSES])
+
+
+_ENGINES = ("O", "F")
+
+
+@query(f"""
+with sums as (
+  select o_orderpriority as operation, {", ".join(f"sum(o_totalprice) filter (o_orderstatus = '{s}') as {s}" for s in _ENGINES)},
+    sum(o_totalprice) filter (o_orderstatus not in {_ENGINES}) as other, sum(o_totalprice) as everything
+  from orders group by o_orderpriority)
+select operation, {", ".join(f'round_even(coalesce({s}, 0.0) * 100.0, 0) / 100.0 as "{s}_time"' for s in _ENGINES)},
+  round_even(coalesce(other, 0.0) * 100.0, 0) / 100.0 as other_time, round_even(everything * 100.0, 0) / 100.0 as all_time from sums
+union all
+select 'total', {", ".join(f"round_even(sum({s}) * 100.0, 0) / 100.0" for s in _ENGINES)},
+  round_even(sum(other) * 100.0, 0) / 100.0, round_even(sum(everything) * 100.0, 0) / 100.0 from sums
+""")
+def timings_with_others(spark: SparkSession, folder: str) -> DataFrame:
+    """A status that is not named has its time in a column of its own."""
+    sums = timing_table(table(spark, folder, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice", _ENGINES)
+    return sums.withColumns({c: round_places(F.col(c), 2) for c in sums.columns if c != "operation"})
+
+
+@query("""
+select o_orderpriority as operation, o_orderstatus as engine, grouping(o_orderpriority) = 1 as all_operations,
+  grouping(o_orderstatus) = 1 as all_engines, round_even(sum(o_totalprice) * 100.0, 0) / 100.0 as seconds
+from orders group by cube (o_orderpriority, o_orderstatus)
+""")
+def timings_of_all_engines(spark: SparkSession, folder: str) -> DataFrame:
+    cells = timing_cells(table(spark, folder, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice")
+    return cells.withColumn("seconds", round_places(F.col("seconds"), 2))

@@ -1,6 +1,8 @@
 """Table-level operators: shaping, profiling, comparison and resource telemetry."""
 
 from numprep.operators.compare import diff_rows, diff_summary, round_trip
+from numprep.operators.intervals import interval_join, total_before
+from numprep.operators.multiset import diff_repeated, pair_repeated
 from numprep.operators.profile import profile
 from numprep.operators.shape import align, conform, restrict
 from numprep.operators.telemetry import (
@@ -16,6 +18,7 @@ from numprep.operators.telemetry import (
     speed_up,
     split_by_phase,
     summarize,
+    timing_cells,
     timing_table,
 )
 
@@ -25,9 +28,12 @@ __all__ = [
     "analyze",
     "conform",
     "counter_rate",
+    "diff_repeated",
     "diff_rows",
     "diff_summary",
+    "interval_join",
     "level",
+    "pair_repeated",
     "phase_bounds",
     "phase_durations",
     "phase_seconds",
@@ -39,5 +45,7 @@ __all__ = [
     "speed_up",
     "split_by_phase",
     "summarize",
+    "timing_cells",
     "timing_table",
+    "total_before",
 ]

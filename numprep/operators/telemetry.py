@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from numprep.functions import seconds, ticks
+from numprep.operators.intervals import interval_join, total_before
 from numprep.plans.model import quoted
 
 MIB = 2**20
@@ -51,9 +52,12 @@ def counter_rate(
     ``sample_id`` is a number that orders samples taken at the same time; it is unique within a source. The
     first sample of a source has no rate, nor has one taken at the time of its predecessor.
 
-    A source is one window group per ``cell_seconds`` of its time, and the last sample of a cell is handed to the next
-    one, so the cuts do not show in the result. A cell of more than ``rows_per_cell`` samples is cut further, by instant and
-    by ``id_block`` numbers of the id. Nothing runs before an action does, and no number of samples changes the plan.
+    A source is one window group per ``cell_seconds`` of its time: all samples are shuffled once, by cell, and take the
+    sample before them in the cell. The first and last sample of each cell, two rows, are then ordered by source, and the
+    first one takes the last one of the cell before, so the cuts do not show in the result. A cell of more than
+    ``rows_per_cell`` samples is cut further, by instant and by ``id_block`` numbers of the id; the list of such cells is
+    broadcast, and has at most a row for each ``rows_per_cell`` samples. Nothing runs before an action does, and no number of
+    samples changes the plan.
     """
     tick, per_second = _ticks(samples, time)
     sample = {"__tick": tick}
@@ -62,31 +66,29 @@ def counter_rate(
     df = samples.withColumns({"__source": quoted(source), "__cell": cell, **sample, "__id": quoted(sample_id)})
     counted = df.groupBy("__source", "__cell").agg(F.count("*").alias("__rows"))
     crowded = counted.where(F.col("__rows") > rows_per_cell).select("__source", "__cell", F.lit(True).alias("__crowded"))
-    df = _join_same(df, crowded, ["__source", "__cell"])
+    df = _join_same(df, F.broadcast(crowded), ["__source", "__cell"])
     df = df.withColumns(
         {
             "__instant": F.when(F.col("__crowded"), F.col("__tick")),
             "__block": F.when(F.col("__crowded"), F.floor(F.col("__id") / F.lit(id_block))),
         }
     )
+    # Cells follow one another as their samples do, missing ones first.
     parts = ["__cell", "__instant", "__block"]
-    values = F.struct(*sample).alias("sample")
-    # One row per cell; the order of cells, missing ones first, is that of their samples.
-    before = Window.partitionBy("__source").orderBy(*[F.col(part).asc_nulls_first() for part in parts])
-    handed = (
-        df.groupBy("__source", *parts)
-        .agg(F.max(F.struct("__tick", "__id", values)).alias("last"))
-        .select("__source", *parts, F.lag("last.sample").over(before).alias("__handed"))
-    )
-    ordered = Window.partitionBy("__source", *parts).orderBy(F.col("__tick").asc_nulls_first(), "__id")
-    lagged = {f"{c}_before": F.lag(c).over(ordered) for c in sample}
-    df = df.withColumns({**lagged, "__first": F.lag(F.lit(False), 1, True).over(ordered)})
-    df = _join_same(df, handed, ["__source", *parts])
-    earlier = {
-        c: F.when(F.col("__first"), F.col(f"__handed.{c}")).otherwise(F.col(f"{c}_before")) for c in sample
-    }
-    elapsed = F.nullif(seconds(F.col("__tick") - earlier["__tick"], per_second), F.lit(0.0))
-    rates = [(F.col(c) - earlier[c]) / elapsed / F.lit(float(unit)) for c in sample if c != "__tick"]
+    order = [F.col("__tick").asc_nulls_first(), F.col("__id")]
+    ordered = Window.partitionBy("__source", *parts).orderBy(*order)
+    across = Window.partitionBy("__source").orderBy(*[F.col(part).asc_nulls_first() for part in parts], *order)
+
+    def with_earlier(rows: DataFrame, window: Window) -> DataFrame:
+        return rows.withColumns({f"{c}_before": F.lag(c).over(window) for c in sample})
+
+    alone = {"__first": F.lag(F.lit(False), 1, True).over(ordered), "__last": F.lead(F.lit(False), 1, True).over(ordered)}
+    df = df.withColumns(alone)
+    inner = with_earlier(df, ordered).where(~F.col("__first"))
+    edges = with_earlier(df.where(F.col("__first") | F.col("__last")), across).where("__first")
+    df = inner.unionByName(edges)
+    elapsed = F.nullif(seconds(F.col("__tick") - F.col("__tick_before"), per_second), F.lit(0.0))
+    rates = [(F.col(c) - F.col(f"{c}_before")) / elapsed / F.lit(float(unit)) for c in sample if c != "__tick"]
     total = rates[0]
     for rate in rates[1:]:
         total = total + rate
@@ -117,12 +119,17 @@ def phase_durations(samples: DataFrame, source: str, phase: str, time: str) -> D
 
 
 def phase_bounds(
-    durations: DataFrame, source: str, phase: str, duration: str, phases: Sequence[str]
+    durations: DataFrame, source: str, phase: str, duration: str, phases: Sequence[str] | DataFrame
 ) -> DataFrame:
-    """Where each phase starts and ends if the named ``phases`` follow one another from 0, per source.
+    """Where each phase starts and ends if phases follow one another from 0, per source.
 
-    The durations of a source become one row, and the running sum is plain arithmetic on it.
+    ``phases`` names them in order, and every source has all of them, those without a duration with length 0: the durations
+    of a source become one row, and the running sum is plain arithmetic on it. Or it is a table of (``phase``, ``position``)
+    of any names and any number: then a source has the phases it has durations of, in order of position, and the running sum
+    is taken by blocks of ``PHASE_BLOCK`` positions, so no source meets in one task. Phases that it lacks are left out.
     """
+    if isinstance(phases, DataFrame):
+        return _bounds_by_position(durations, source, phase, duration, phases)
     lengths = [
         F.coalesce(F.sum(F.when(quoted(phase) == name, quoted(duration))), F.lit(0.0)).alias(f"length{i}")
         for i, name in enumerate(phases)
@@ -136,20 +143,46 @@ def phase_bounds(
     return by_source.select(quoted(source), F.inline(F.array(*bounds)))
 
 
+PHASE_BLOCK = 10_000
+
+
+def _bounds_by_position(
+    durations: DataFrame, source: str, phase: str, duration: str, phases: DataFrame
+) -> DataFrame:
+    known = phases.select(quoted(phase).alias("__phase"), F.col("position").alias("__position"))
+    lengths = (
+        durations.groupBy(quoted(source).alias("__source"), quoted(phase).alias("__phase"))
+        .agg(F.coalesce(F.sum(quoted(duration)), F.lit(0.0)).alias("__length"))
+        .join(known, "__phase")
+        .withColumn("__block", F.floor(F.col("__position") / F.lit(PHASE_BLOCK)))
+    )
+    order = [F.col("__position"), F.col("__phase")]
+    placed = total_before(lengths, ["__source"], "__block", order, "__length", "start")
+    return placed.select(
+        F.col("__source").alias(source),
+        F.col("__phase").alias(phase),
+        "start",
+        (F.col("start") + F.col("__length")).alias("end"),
+    )
+
+
 def split_by_phase(samples: DataFrame, bounds: DataFrame, source: str, time: str, phase: str = "phase") -> DataFrame:
     """Samples with the phase they fall in. Both ends belong to a phase: a sample on a border is in two.
 
     ``bounds`` has ``start`` and ``end`` for each source and phase, in the unit of ``time`` (seconds for
-    timestamps). Samples outside all phases are left out.
+    timestamps). Samples outside all phases are left out. A sample is compared with the phases near it (`interval_join`), not
+    with all of its source.
     """
     tick, per_second = _ticks(samples, time)
-    timed = samples.withColumn("__at", seconds(tick, per_second))
+    timed = samples.withColumn("__at", seconds(tick, per_second).cast("double"))
     wanted = bounds.select(
-        quoted(source), quoted(phase).alias(phase), F.col("start").alias("__start"), F.col("end").alias("__end")
+        quoted(source),
+        quoted(phase).alias(phase),
+        F.col("start").cast("double").alias("__start"),
+        F.col("end").cast("double").alias("__end"),
     )
-    pairs = timed.join(wanted, source)
-    inside = F.col("__at").between(F.col("__start"), F.col("__end"))
-    return pairs.where(inside).select(*[quoted(name) for name in samples.columns], quoted(phase))
+    inside = interval_join(timed, wanted, [source], "__at", "__start", "__end")
+    return inside.select(*[quoted(name) for name in samples.columns], quoted(phase))
 
 
 def rescale_time(
@@ -290,17 +323,37 @@ def analyze(
     )
 
 
+def timing_cells(timings: DataFrame, operation: str, engine: str, duration: str) -> DataFrame:
+    """Seconds of each operation and engine, of each operation, of each engine, and of all, in long form.
+
+    ``all_operations`` and ``all_engines`` tell a total from a missing name. Totals are made from the sums of the cells.
+    """
+    cells = timings.groupBy(quoted(operation).alias("operation"), quoted(engine).alias("engine")).agg(
+        F.sum(quoted(duration)).alias("seconds")
+    )
+    return cells.cube("operation", "engine").agg(
+        (F.grouping("operation") == 1).alias("all_operations"),
+        (F.grouping("engine") == 1).alias("all_engines"),
+        F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"),
+    )
+
+
 def timing_table(
     timings: DataFrame, operation: str, engine: str, duration: str, engines: Sequence[str]
 ) -> DataFrame:
-    """Seconds by operation and engine, and a ``total`` row. Totals are made from the per-operation sums."""
-    sums = [F.sum(F.when(quoted(engine) == name, quoted(duration))).alias(f"t{i}") for i, name in enumerate(engines)]
-    by_operation = timings.groupBy(quoted(operation).alias("operation")).agg(*sums)
+    """`timing_cells` as one row for each operation and one for the ``total``: a column for each of ``engines``,
+    ``other_time`` for engines that are not named or missing, and ``all_time``, which is the sum of the others."""
+    cells = timing_cells(timings, operation, engine, duration)
+    named = F.coalesce(F.col("engine").isin(*engines), F.lit(False)) if engines else F.lit(False)
+    picked = [F.sum(F.when(~F.col("all_engines") & (F.col("engine") == name), F.col("seconds"))) for name in engines]
+    times = [F.coalesce(column, F.lit(0.0)).alias(f"{name}_time") for name, column in zip(engines, picked, strict=True)]
     return (
-        by_operation.rollup("operation")
-        .agg(F.grouping("operation").alias("is_total"), *[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(engines))])
-        .select(
-            F.when(F.col("is_total") == 1, F.lit("total")).otherwise(F.col("operation")).alias("operation"),
-            *[F.coalesce(f"t{i}", F.lit(0.0)).alias(f"{name}_time") for i, name in enumerate(engines)],
+        cells.groupBy("all_operations", "operation")
+        .agg(
+            *times,
+            F.coalesce(F.sum(F.when(~F.col("all_engines") & ~named, F.col("seconds"))), F.lit(0.0)).alias("other_time"),
+            F.sum(F.when(F.col("all_engines"), F.col("seconds"))).alias("all_time"),
         )
+        .withColumn("operation", F.when(F.col("all_operations"), F.lit("total")).otherwise(F.col("operation")))
+        .drop("all_operations")
     )

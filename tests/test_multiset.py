@@ -1,0 +1,88 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from numprep.operators import diff_repeated, pair_repeated
+
+SCHEMA = "k int, t string, n bigint"
+
+
+def _random(seed, hot):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(400):
+        key = rng.choice([1, 1, 1, None, rng.randint(2, 20)]) if hot else rng.choice([None, rng.randint(1, 60)])
+        rows.append((key, rng.choice(["a", "b", None, ""]), rng.choice([None, rng.randint(0, 3)])))
+    return rows
+
+
+def _pairs_by_hand(left, right):
+    a, b = Counter(left), Counter(right)
+    over = defaultdict(lambda: ([], []))
+    for row in set(a) | set(b):
+        surplus = a[row] - b[row]
+        if surplus:
+            text = "\x1f".join("-" if v is None else f"={v}" for v in row[1:])
+            over[row[0]][surplus < 0].extend([(hashlib.md5(text.encode()).hexdigest(), row)] * abs(surplus))
+    pairs, alone = Counter(), [0, 0]
+    for one, other in over.values():
+        one.sort(key=lambda x: x[0])
+        other.sort(key=lambda x: x[0])
+        for (_, x), (_, y) in zip(one, other):
+            pairs[x[0], x[1], y[1], x[2], y[2]] += 1
+        alone[0] += max(0, len(one) - len(other))
+        alone[1] += max(0, len(other) - len(one))
+    return pairs, alone, sum((a & b).values())
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(0, False), (1, True), (2, True)])
+def test_against_sorted_lists(spark, seed, hot):
+    left = _random(seed, hot)
+    right = [r for r in _random(seed, hot) if r[2] != 1] + _random(seed + 10, hot)[:150]
+    pairs, alone, equal = _pairs_by_hand(left, right)
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (left, right)]
+    found = Counter()
+    for r in pair_repeated(*frames, keys=["k"]).collect():
+        found[r.k, r.left_t, r.right_t, r.left_n, r.right_n] += r.rows
+    assert found == pairs
+    summary = {r.column_name: r for r in diff_repeated(*frames, keys=["k"]).collect()}
+    for r in summary.values():
+        assert (r.equal_rows, r.paired, r.left_only, r.right_only) == (equal, sum(pairs.values()), *alone)
+        assert r.equal_rows + r.paired + r.left_only == len(left) and r.equal_rows + r.paired + r.right_only == len(right)
+    assert summary["t"].mismatches == sum(n for (_, x, y, _, _), n in pairs.items() if x != y)
+    assert summary["t"].null_mismatches == sum(n for (_, x, y, _, _), n in pairs.items() if (x is None) != (y is None))
+    off = [(abs(x - y), n) for (_, _, _, x, y), n in pairs.items() if None not in (x, y)]
+    assert summary["n"].mismatches == sum(n for d, n in off if d) and summary["n"].max_abs_diff == max(d for d, _ in off)
+
+
+def test_one_row_a_million_times(spark):
+    """Copies are counted, not listed: a million against one, and the rest paired with a row of two kinds."""
+    left = spark.range(1_000_000).select(F.lit(1).alias("k"), F.lit("x").alias("t"))
+    right = spark.range(600_001).select(
+        F.lit(1).alias("k"), F.when(F.col("id") == 0, "x").when(F.col("id") <= 200_000, "y").otherwise("z").alias("t")
+    )
+    found = {(r.left_t, r.right_t): r.rows for r in pair_repeated(left, right, ["k"]).collect()}
+    assert found == {("x", "y"): 200_000, ("x", "z"): 400_000}
+    row = diff_repeated(left, right, ["k"]).first()
+    assert (row.equal_rows, row.paired, row.left_only, row.right_only, row.mismatches) == (1, 600_000, 399_999, 0, 600_000)
+
+
+def test_tolerance_and_missing_values(spark):
+    left = spark.createDataFrame([(1, 1.0), (1, None), (2, float("nan")), (3, 5.0)], "k int, x double")
+    right = spark.createDataFrame([(1, 1.0 + 5e-7), (1, None), (2, 3.0), (3, 5.0)], "k int, x double")
+    row = diff_repeated(left, right, ["k"]).first()
+    assert (row.equal_rows, row.paired, row.mismatches, row.null_mismatches) == (2, 2, 0, 1)
+
+
+def test_equal_and_empty(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "a", 1), (None, None, None)], SCHEMA)
+    for row in diff_repeated(df, df, ["k"]).collect():
+        assert (row.equal_rows, row.paired, row.left_only, row.right_only, row.mismatches) == (3, 0, 0, 0, 0)
+    for row in diff_repeated(df, df.limit(0), ["k"]).collect():
+        assert (row.equal_rows, row.paired, row.left_only, row.right_only, row.mismatches) == (0, 0, 3, 0, 0)
+    assert pair_repeated(df, df.limit(0), ["k"]).collect() == []
+    with pytest.raises(ValueError, match="key columns"):
+        diff_repeated(df, df, [])

@@ -17,6 +17,7 @@ from numprep.operators import (
     split_by_phase,
     summarize,
     telemetry,
+    timing_cells,
     timing_table,
 )
 
@@ -218,3 +219,49 @@ def test_timing_table(spark):
     )
     got = {r.operation: (r.a_time, r.b_time) for r in timing_table(df, "op", "engine", "s", ["a", "b"]).collect()}
     assert got == {"fit": (2.5, 1.0), "inverse": (3.0, 0.0), None: (0.0, 4.0), "total": (5.5, 5.0)}
+
+
+def test_unlisted_engines_are_in_the_total(spark):
+    rows = [("fit", "pd", 1.0), ("fit", "sp", 2.0), ("fit", "gpu", 50.0), ("fit", None, 3.0), ("inverse", "gpu", 4.0), (None, "pd", 8.0)]
+    df = spark.createDataFrame(rows, "op string, engine string, s double")
+    found = {r.operation: (r.pd_time, r.sp_time, r.other_time, r.all_time) for r in timing_table(df, "op", "engine", "s", ["pd", "sp"]).collect()}
+    assert found == {"fit": (1.0, 2.0, 53.0, 56.0), "inverse": (0.0, 0.0, 4.0, 4.0), None: (8.0, 0.0, 0.0, 8.0), "total": (9.0, 2.0, 57.0, 68.0)}
+    cells = timing_cells(df, "op", "engine", "s").collect()
+    assert sum(r.seconds for r in cells if not (r.all_operations or r.all_engines)) == 68.0
+    assert [r.seconds for r in cells if r.all_operations and r.all_engines] == [68.0]
+    assert {(r.engine, r.seconds) for r in cells if r.all_operations and not r.all_engines} == {
+        ("pd", 9.0), ("sp", 2.0), ("gpu", 54.0), (None, 3.0)
+    }
+    assert [r.all_time for r in timing_table(df.limit(0), "op", "engine", "s", []).collect() if r.operation is None] == []
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_phases_of_any_name_and_number(spark, monkeypatch, block):
+    monkeypatch.setattr(telemetry, "PHASE_BLOCK", block)
+    rng = random.Random(3)
+    names = [f"p{i}" for i in range(60)]
+    order = {name: i for i, name in enumerate(rng.sample(names, len(names)))}
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice([*names, "unranked"]), float(rng.randint(0, 9))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "run string, phase string, seconds double")
+    ranked = spark.createDataFrame(list(order.items()), "phase string, position int")
+    found = {(r.run, r.phase): (r.start, r.end) for r in phase_bounds(df, "run", "phase", "seconds", ranked).collect()}
+    expected = {}
+    for run in {r[0] for r in rows}:
+        at = 0.0
+        for name in sorted({p for q, p, _ in rows if q == run and p in order}, key=order.get):
+            length = sum(s for q, p, s in rows if (q, p) == (run, name))
+            expected[run, name] = (at, at + length)
+            at += length
+    assert found == expected
+
+
+def test_counter_rate_plan(spark, tmp_path):
+    rows = _samples("hot source")
+    path = str(tmp_path / "samples")
+    spark.createDataFrame(rows, "id bigint, source string, ts double, a double, b double").write.parquet(path)
+    df = counter_rate(spark.read.parquet(path), "source", "ts", "id", ["a", "b"])
+    assert df.count() == len(rows)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "ReusedExchange" in plan
+    assert plan.count("FileScan") + plan.count("Scan parquet") == 2
