@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from numprep.functions import parse_number
 from numprep.operators.compare import TOLERANCE, _compared_columns, _difference, _kinds
-from numprep.operators.intervals import interval_join, total_before
+from numprep.operators.intervals import total_before
 from numprep.operators.shape import one_row_per
 from numprep.plans.model import quoted
 
 
 def _counted(left: DataFrame, right: DataFrame, keys: Sequence[str], kinds: dict[str, str]) -> DataFrame:
-    """Each different row (key0.., v0..) with how often either side has it: n_l, n_r."""
+    """Each different row (key0.., v0..) with how often either side has it: n_l, n_r. Values of one type keep it."""
 
     def side(df: DataFrame, n_l: int, n_r: int) -> DataFrame:
         values = []
         for i, (name, kind) in enumerate(kinds.items()):
-            number = kind == "double"
-            value = parse_number(quoted(name), df.schema[name].dataType) if number else quoted(name).cast(kind)
+            types = [table.schema[name].dataType for table in (left, right)]
+            if kind == "double":
+                value = parse_number(quoted(name), df.schema[name].dataType)
+            else:
+                value = quoted(name) if types[0] == types[1] else quoted(name).cast(kind)
             values.append(value.alias(f"v{i}"))
         named = [quoted(key).alias(f"key{j}") for j, key in enumerate(keys)]
         return df.select(*named, *values, F.lit(n_l).alias("n_l"), F.lit(n_r).alias("n_r"))
@@ -31,12 +34,16 @@ def _counted(left: DataFrame, right: DataFrame, keys: Sequence[str], kinds: dict
     return both.groupBy(*row).agg(F.sum("n_l").alias("n_l"), F.sum("n_r").alias("n_r"))
 
 
+#: Ranks of a key that meet in one group of the pairing, and ranks that one row is first cut into.
+_CHUNK, _BLOCK = 32, 1 << 20
+
+
 def _paired(counted: DataFrame, n_keys: int, n_values: int) -> DataFrame:
     """Rows that one side has more often, paired by their rank within the key: key0.., l0.., r0.., rows.
 
     The order within a key is that of the MD5 of the values: it deals the rows of a key evenly into parts, so a key that holds
-    a third of a table is no more than any other, and a rerun pairs alike. A row that is left many times stays one row: runs of
-    ranks are paired where they overlap, by an interval join.
+    a third of a table is no more than any other, and a rerun pairs alike. A row that is left many times stays one run of ranks,
+    cut only at every ``_CHUNK`` ranks; a group is one such stretch of a key's ranks, at most that many runs of either side.
     """
     keys, values = [f"key{j}" for j in range(n_keys)], [f"v{i}" for i in range(n_values)]
     texts = [F.coalesce(F.concat(F.lit("="), F.col(v).cast("string")), F.lit("-")) for v in values]
@@ -44,27 +51,33 @@ def _paired(counted: DataFrame, n_keys: int, n_values: int) -> DataFrame:
         counted.where("n_l != n_r")
         .withColumn("digest", F.md5(F.concat_ws("\x1f", *texts)))
         .withColumn("cell", F.substring("digest", 1, 2))
-        .withColumn("side", F.when(F.col("n_l") > F.col("n_r"), "l").otherwise("r"))
+        .withColumn("on_left", F.col("n_l") > F.col("n_r"))
         .withColumn("rows", F.abs(F.col("n_l") - F.col("n_r")))
         .drop("n_l", "n_r")
     )
     order = [F.col("digest"), *[F.col(v).asc_nulls_first() for v in values]]
-    ranked = total_before(left_over, [*keys, "side"], "cell", order, "rows", "first").withColumn(
-        "last", F.col("first") + F.col("rows") - 1
-    )
+    ranked = total_before(left_over, [*keys, "on_left"], "cell", order, "rows", "first")
+    last = F.col("first") + F.col("rows") - 1
+
+    def cut(df: DataFrame, size: int, name: str) -> DataFrame:
+        """Runs cut at multiples of ``size``: first and last become those of the part."""
+        parts = F.sequence(F.floor(F.col("first") / size), F.floor(F.col("last") / size))
+        df = df.withColumn(name, F.explode(parts))
+        bounds = F.greatest("first", F.col(name) * size), F.least("last", (F.col(name) + 1) * size - 1)
+        return df.withColumns(dict(zip(("first", "last"), bounds)))
+
+    runs = cut(cut(ranked.withColumn("last", last), _BLOCK, "block"), _CHUNK, "chunk")
+    run = F.struct("first", "last", *values)
+    sides = [F.collect_list(F.when(side, run)).alias(name) for side, name in ((F.col("on_left"), "l"), (~F.col("on_left"), "r"))]
 
-    def runs(side: str) -> DataFrame:
-        named = [F.col(v).alias(f"{side}{i}") for i, v in enumerate(values)]
-        bounds = [F.col(b).cast("double").alias(f"{b}_{side}") for b in ("first", "last")]
-        return ranked.where(F.col("side") == side).select(*keys, *named, *bounds)
+    def pair(one: Column, other: Column) -> Column:
+        both = [one[v].alias(f"l{i}") for i, v in enumerate(values)] + [other[v].alias(f"r{i}") for i, v in enumerate(values)]
+        shared = F.least(one["last"], other["last"]) - F.greatest(one["first"], other["first"]) + 1
+        return F.struct(*both, shared.cast("bigint").alias("rows"))
 
-    lefts, rights = runs("l"), runs("r")
-    # Two runs overlap if one starts in the other.
-    one = interval_join(rights, lefts, keys, "first_r", "first_l", "last_l", null_safe=True)
-    other = interval_join(lefts, rights, keys, "first_l", "first_r", "last_r", null_safe=True)
-    pairs = one.unionByName(other.where(F.col("first_l") > F.col("first_r")))
-    shared = F.least("last_l", "last_r") - F.greatest("first_l", "first_r") + 1
-    return pairs.withColumn("rows", shared.cast("bigint")).drop("first_l", "last_l", "first_r", "last_r")
+    pairs = F.flatten(F.transform("l", lambda one: F.transform("r", lambda other: pair(one, other))))
+    met = runs.groupBy(*keys, "chunk").agg(*sides)
+    return met.select(*keys, F.inline(F.filter(pairs, lambda p: p["rows"] > 0)))
 
 
 def pair_repeated(
@@ -73,7 +86,7 @@ def pair_repeated(
     """Rows of two tables that differ, paired within their key: the keys, left_ and right_ of each column, and ``rows``.
 
     Keys may repeat. A row that both tables have is matched as often as both have it, and what is then left of a key is paired
-    by rank; ``rows`` says how many pairs are alike. Rows without a partner are in no pair (`diff_repeated` counts them).
+    by rank; ``rows`` says how many such pairs there are, and a pair may come in several parts. Rows without a partner are in no pair (`diff_repeated` counts them).
     """
     kinds = _kinds(left, right, _compared_columns(left, keys, columns))
     pairs = _paired(_counted(left, right, keys, kinds), len(keys), len(kinds))
@@ -113,7 +126,7 @@ def diff_repeated(
     measures = [F.sum("rows").alias("paired")]
     for i, kind in enumerate(kinds.values()):
         one, other = F.col(f"l{i}"), F.col(f"r{i}")
-        difference = F.lit(None).cast("double") if kind == "string" else _difference(one, other)
+        difference = F.lit(None).cast("double") if kind == "string" else _difference(one.cast(kind), other.cast(kind))
         differs = ~one.eqNullSafe(other) if kind == "string" else F.coalesce(difference > tolerance, F.lit(False))
         measures += [
             F.max(difference).alias(f"max{i}"),

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from numprep.operators import diff_repeated, pair_repeated
+from numprep.operators import diff_repeated, multiset, pair_repeated
 
 SCHEMA = "k int, t string, n bigint"
 
@@ -64,12 +64,18 @@ def test_one_row_a_million_times(spark):
     right = spark.range(600_001).select(
         F.lit(1).alias("k"), F.when(F.col("id") == 0, "x").when(F.col("id") <= 200_000, "y").otherwise("z").alias("t")
     )
-    found = {(r.left_t, r.right_t): r.rows for r in pair_repeated(left, right, ["k"]).collect()}
+    pairs = pair_repeated(left, right, ["k"]).groupBy("left_t", "right_t").sum("rows")
+    found = {(r[0], r[1]): r[2] for r in pairs.collect()}
     assert found == {("x", "y"): 200_000, ("x", "z"): 400_000}
     row = diff_repeated(left, right, ["k"]).first()
     assert (row.equal_rows, row.paired, row.left_only, row.right_only, row.mismatches) == (1, 600_000, 399_999, 0, 600_000)
 
 
+def test_blocks_of_ranks(spark, monkeypatch):
+    monkeypatch.setattr(multiset, "_BLOCK", 64)
+    test_one_row_a_million_times(spark)
+
+
 def test_tolerance_and_missing_values(spark):
     left = spark.createDataFrame([(1, 1.0), (1, None), (2, float("nan")), (3, 5.0)], "k int, x double")
     right = spark.createDataFrame([(1, 1.0 + 5e-7), (1, None), (2, 3.0), (3, 5.0)], "k int, x double")
