@@ -68,6 +68,8 @@ def leaf_blocks(page: str) -> list[Block]:
     holds: set[str] = set()
     links = linked = 0
     at, end = 0, len(page)
+    # No tag ends behind the last ">", so none is sought there: a page of unclosed tags is read once.
+    last = page.rfind(">") + 1
 
     def close() -> None:
         nonlocal parts, holds, linked
@@ -81,8 +83,12 @@ def leaf_blocks(page: str) -> list[Block]:
         holds = set()
 
     while at < end:
-        found = _TAG.search(page, at)
-        stop = found.start() if found else end
+        found = _TAG.search(page, at, last)
+        if found:
+            stop = found.start()
+        else:
+            stop = page.find("<!--", at)  # an unclosed comment hides the rest
+            stop = end if stop < 0 else stop
         if stop > at:
             parts.append(page[at:stop])
             if links:
@@ -92,6 +98,8 @@ def leaf_blocks(page: str) -> list[Block]:
         at = found.end()
         name = found.group(2)
         if not name:
+            if found.group().startswith("<!--") and not found.group().endswith("-->"):
+                break
             continue
         name = name.lower()
         if found.group(1):
@@ -109,9 +117,9 @@ def leaf_blocks(page: str) -> list[Block]:
                     close()
             continue
         if name in _SILENT:
-            if not found.group(3).endswith("/>"):
-                ending = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|</{re.escape(name)}\Z", re.I).search(page, at)
-                at = ending.end() if ending else end
+            # "/>" does not close them: what follows is theirs up to their end tag.
+            ending = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at, last)
+            at = ending.end() if ending else end
             continue
         if name == "a":
             links = 1

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -97,3 +98,26 @@ def test_odd_rows(spark, field):
     assert got == sorted([(1, "u", 0), (None, None, 0), (2, "u", 0), (2, "u", 0), (3, "u", 299_999)], key=str)
     assert extract(df.limit(0)).collect() == [] and extract(df.where("html is null")).count() == 1
     assert main_text(field, "<nav><a href=x>Home</a></nav>") == ""
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<p>a</p><script src=x/>code()</script><p>b</p>", ["a", "b"]),
+        ("<style/>p{}</style><p>b</p>", ["b"]),
+        ("<p>a</p><script>never closed", ["a"]),
+        ("<p>a</p><script>x</script <p>", ["a"]),
+        ("<p>a</p><!-- never closed <p>b</p>", ["a"]),
+        ("<p>a</p><!-- never closed", ["a"]),
+        ("<p>a <b and", ["a <b and"]),
+    ],
+)
+def test_raw_text_and_unclosed_ends(page, texts):
+    assert [b.text for b in leaf_blocks(page)] == texts
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<script>" + "</script " * 120_000, "<!-" * 350_000])
+def test_unclosed_tags_are_read_once(page):
+    before = time.process_time()
+    leaf_blocks(page)
+    assert time.process_time() - before < 2
