@@ -38,6 +38,11 @@ def _duplicates(texts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.n
     return counts[inverse], again
 
 
+def _equal_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits that tell ranges of bytes apart, of any length and contents."""
+    return textvec.digests(data, textvec.span_hashes(data, starts, ends), starts, ends)
+
+
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text of each line of texts cut at line feeds."""
     feeds = np.flatnonzero(data == 10)
@@ -53,21 +58,21 @@ def normal_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     starts, ends, text = line_spans(data, offsets)
     folded = textvec.fold(data)
     words = textvec.find_words(folded, offsets)
-    hashes = textvec.span_hashes(folded, words.starts, words.ends)
+    hashes = _equal_bytes(folded, words.starts, words.ends)
     first, last = np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends)
-    return starts, ends, text, last - first, textvec.run_hashes(hashes, first, last)
+    return starts, ends, text, last - first, textvec.digests(hashes, textvec.run_hashes(hashes, first, last), first, last)
 
 
 def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The counts of ``_COUNTS`` for each text."""
     words = textvec.find_words(data, offsets)
-    hashes = textvec.span_hashes(data, words.starts, words.ends)
+    hashes = _equal_bytes(data, words.starts, words.ends)
     characters = textvec.counts_within(textvec.WORD_BYTES[data] & ((data & 0xC0) != 0x80), offsets)
     symbols = textvec.counts_within(_SYMBOLS[data], offsets)
     starts, ends, line_text = line_spans(data, offsets)
     full = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
     starts, ends, line_text = starts[full], ends[full], line_text[full]
-    _, again = _duplicates(line_text, textvec.span_hashes(data, starts, ends))
+    _, again = _duplicates(line_text, _equal_bytes(data, starts, ends))
     dup_lines = np.bincount(line_text[again], minlength=len(offsets) - 1)
     fits = textvec.window_fits(words, REPEAT_WINDOW)
     at = np.flatnonzero(fits)

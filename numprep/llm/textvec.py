@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,6 +12,9 @@ import pyarrow as pa
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 SLICE_BYTES = 1 << 19
 
+#: Longest range of values whose equality is judged by `run_hashes` alone where `digests` is used.
+LONG = 256
+
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -127,6 +131,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return run_hashes(_BYTES[data], starts, ends)
 
 
+def digests(values: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of ranges, with those of ranges over ``LONG`` values replaced by a digest of the values themselves.
+
+    Sums of powers modulo 2^64 are equal for some long ranges of two values that are no chance pairs, whatever the values; ranges
+    up to this length are too short for these.
+    """
+    hashes = hashes.copy()
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        raw = hashlib.blake2b(values[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(raw, "little")
+    return hashes
+
+
 def fold(data: np.ndarray) -> np.ndarray:
     """A-Z as a-z."""
     return _FOLD[data]

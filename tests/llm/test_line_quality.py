@@ -2,7 +2,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from numprep.llm import line_quality
+import pyarrow as pa
+import pytest
+
+from numprep.llm import line_quality, textvec
 from numprep.llm.line_quality import judge_documents, keep_good
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -152,3 +155,22 @@ def test_clashing_columns(documents):
         docs = docs.selectExpr("*", f"'x' as {name}")
     out = keep_good(docs)
     assert out.columns == docs.columns and out.collect() == docs.collect()
+
+
+def _two_letter_word(n, flip):
+    """Letters by the parity of the ones in their place: equal sums of powers modulo 2^64 for both ways round."""
+    return "".join("ab"[(i.bit_count() + flip) % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [256, 257, 1024, 4096])
+def test_long_words_and_lines_that_hash_alike(n):
+    one, other = _two_letter_word(n, 0), _two_letter_word(n, 1)
+    text = "\n".join([one, other, " ".join([one] * 8), " ".join([other] * 8), one])
+    data, offsets = textvec.utf8(pa.array([text]))
+    measured = dict(zip(line_quality._COUNTS, (int(c[0]) for c in line_quality._measure(data, offsets))))
+    assert measured["n_dup_lines"] == 1
+    assert measured["n_repeat_words"] == 0
+    hashes = line_quality.normal_lines(data, offsets)[-1]
+    assert len(set(hashes.tolist())) == 4
+    many = "\n".join(" ".join("xy"[(i.bit_count() + flip) % 2] for i in range(n)) for flip in (0, 1))
+    assert len(set(line_quality.normal_lines(*textvec.utf8(pa.array([many])))[-1].tolist())) == 2
