@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from numprep.llm import pfor, textvec
@@ -28,7 +29,7 @@ SLICE_BYTES = 4 << 20
 #: Units that are encoded as one text.
 JOINED = 512
 #: A row is a segment: which it is, where it starts in its part, its documents and where each ends, and the blocks.
-FILE_SCHEMA = "part int, segment int, start long, doc_id array<long>, stop array<long>, ids binary"
+FILE_SCHEMA = "part int, segment int, start long, doc_id array<{kind}>, stop array<long>, ids binary"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
@@ -123,6 +124,7 @@ def _segments(model: bytes):
         keys: list = []
         stops: list[int] = []
         held = 0
+        kind = pa.int64()
 
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -130,7 +132,7 @@ def _segments(model: bytes):
                     pa.array([part], pa.int32()),
                     pa.array([segment], pa.int32()),
                     pa.array([start], pa.int64()),
-                    pa.array([keys], pa.list_(pa.int64())),
+                    pa.array([keys], pa.list_(kind)),
                     pa.array([stops], pa.list_(pa.int64())),
                     pa.array([pfor.encode(np.concatenate(ids))], pa.binary()),
                 ],
@@ -138,7 +140,7 @@ def _segments(model: bytes):
             )
 
         for batch in batches:
-            texts, named = batch.column("_text"), batch.column("doc_id").to_pylist()
+            texts, named, kind = batch.column("_text"), batch.column("doc_id").to_pylist(), batch.column("doc_id").type
             _, offsets = textvec.utf8(texts)
             for a, b in textvec.slices(offsets, SLICE_BYTES):
                 flat, bounds = _encoders[name].encode(texts.slice(a, b - a))
@@ -165,20 +167,26 @@ def write_tokens(docs: DataFrame, model_path: str, path: str) -> None:
 
     Parts ascend by doc_id, missing ones first, and documents of the same doc_id by a hash of their text. Only texts are
     shuffled, once, into ranges; each task encodes its range and writes segments of about ``SEGMENT`` identifiers as
-    rows of Parquet, so lost tasks are written again and half-written files never count. A missing text is empty.
+    rows of Parquet, so lost tasks are written again and half-written files never count. A missing text is empty. A
+    doc_id may be of any type that has an order; a whole number is kept as a long. Repeated rows are written repeated,
+    other columns are not written, and an empty table gives files without a row.
     """
     ship(docs.sparkSession)
     model = Path(model_path).read_bytes()
-    keyed = docs.select(F.col("doc_id").cast("long"), text_key().alias("_text_key"), text_of().alias("_text"))
+    kind = docs.schema["doc_id"].dataType
+    doc_id = F.col("doc_id").cast("long") if isinstance(kind, T.IntegralType) else F.col("doc_id")
+    keyed = docs.select(doc_id.alias("doc_id"), text_key().alias("_text_key"), text_of().alias("_text"))
     ranged = keyed.repartitionByRange("doc_id", "_text_key").sortWithinPartitions("doc_id", "_text_key")
-    ranged.select("doc_id", "_text").mapInArrow(_segments(model), FILE_SCHEMA).write.parquet(path)
+    schema = FILE_SCHEMA.format(kind=keyed.schema["doc_id"].dataType.simpleString())
+    ranged.select("doc_id", "_text").mapInArrow(_segments(model), schema).write.parquet(path)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments to rows (part, doc_id, at, n_tokens, ids_crc32)."""
     for batch in batches:
         for row in range(batch.num_rows):
-            part, _, start, keys, stops, payload = (batch.column(i)[row].as_py() for i in range(6))
+            part, start, stops, payload = (batch.column(n)[row].as_py() for n in ("part", "start", "stop", "ids"))
+            keys = batch.column("doc_id")[row].values
             ids = pfor.decode(payload).astype("<u4")
             bounds = np.concatenate([[0], np.array(stops, np.int64)])
             view = memoryview(ids).cast("B")
@@ -186,7 +194,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(keys), part, np.int32)),
-                    pa.array(keys, pa.int64()),
+                    keys,
                     pa.array(bounds[:-1] + start),
                     pa.array(np.diff(bounds)),
                     pa.array(sums, pa.int64()),
@@ -202,10 +210,11 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     of its part, which the file has.
     """
     ship(spark)
-    files = spark.read.schema(FILE_SCHEMA).parquet(path)
+    files = spark.read.parquet(path)
+    kind = files.schema["doc_id"].dataType.elementType.simpleString()
     sizes = files.groupBy("part").agg(F.sum(F.element_at("stop", -1)).alias("n"))
     before = F.sum("n").over(W.Window.orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1))
     parts = sizes.select(F.col("part").alias("_part"), F.coalesce(before, F.lit(0)).alias("_before"))
-    documents = files.mapInArrow(_documents, "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    documents = files.mapInArrow(_documents, f"part int, doc_id {kind}, at long, n_tokens long, ids_crc32 long")
     joined = documents.join(parts, F.col("part") == F.col("_part"))
     return joined.select("doc_id", (F.col("at") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")

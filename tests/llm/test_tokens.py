@@ -83,6 +83,16 @@ def test_files_round_trip(spark, documents, sample, tmp_path, monkeypatch, segme
         start += len(ids)
 
 
+def test_files_of_named_documents_and_clashing_columns(spark, documents, tmp_path):
+    rows = [(i, f"text {i} " * i) for i in range(30)]
+    docs = documents(rows).selectExpr("concat('d', doc_id) as doc_id", "text", "'x' as ids", "'y' as _text", "1 as part")
+    write_tokens(docs, BYTES, str(tmp_path / "named"))
+    got = read_index(spark, str(tmp_path / "named")).orderBy("start").collect()
+    library = Tokenizer.from_file(BYTES)
+    expected = {f"d{i}": len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows}
+    assert [(r.doc_id, r.n_tokens) for r in got] == sorted(expected.items())
+
+
 def test_files_of_repeated_rows_missing_ids_and_none(spark, documents, tmp_path):
     rows = [(None, "x y")] * 3 + [(1, "z")] * 2 + [(1, "other")]
     write_tokens(documents(rows), BYTES, str(tmp_path / "a"))
