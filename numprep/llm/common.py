@@ -5,8 +5,11 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -36,11 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write the rows to the shared folder and read them back, which cuts the lineage durably."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -94,14 +97,36 @@ def running_total(
     return joined.withColumn(name, F.col("_part_start") + F.col("_row_start")).drop("_part_start", "_row_start")
 
 
-def merge_runs(runs: str, start: str, stop: str) -> Column:
-    """Ascending runs (structs of two integers), with those that overlap or touch made one."""
-
-    def add(done: Column, run: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.struct(last[start].alias(start), F.greatest(last[stop], run[stop]).alias(stop))
-        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
-        alone = F.struct(run[start].alias(start), run[stop].alias(stop))
-        return F.when((F.size(done) > 0) & (last[stop] >= run[start]), joined).otherwise(F.concat(done, F.array(alone)))
-
-    return F.aggregate(runs, F.array().cast(f"array<struct<{start}:int,{stop}:int>>"), add)
+def _merging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key columns ..., runs) to the same with runs that overlap or touch made one."""
+    for batch in batches:
+        runs = batch.column(batch.num_columns - 1)
+        flat, kind = runs.flatten(), runs.type.value_type
+        starts, stops = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+        offsets = np.asarray(runs.offsets).astype(np.int64)
+        offsets -= offsets[0]
+        # Each row's runs are moved behind all of the rows before it, so that they never meet.
+        moved = np.repeat(np.arange(batch.num_rows), np.diff(offsets)) * (stops.max(initial=0) + 1)
+        reached = np.maximum.accumulate(stops + moved)
+        head = np.ones(len(starts), bool)
+        head[1:] = (starts + moved)[1:] > reached[:-1]
+        head[offsets[:-1][np.diff(offsets) > 0]] = True
+        first = np.flatnonzero(head)
+        last = np.append(first, len(starts))[1:] - 1
+        merged = pa.StructArray.from_arrays(
+            [pa.array(x, kind.field(i).type) for i, x in enumerate((starts[first], (reached - moved)[last]))],
+            names=[kind.field(i).name for i in range(2)],
+        )
+        places = pa.array(np.searchsorted(first, offsets).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.ListArray.from_arrays(places, merged)], names=batch.schema.names
+        )
+
+
+def merge_runs(df: DataFrame) -> DataFrame:
+    """The rows, with the runs of the last column merged: an ascending list of (start, stop), no list missing.
+
+    Runs that overlap or touch become one. The time taken grows with the number of runs.
+    """
+    ship(df.sparkSession)
+    return df.mapInArrow(_merging, df.schema)

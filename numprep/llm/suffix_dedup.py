@@ -265,7 +265,7 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     runs = F.sort_array(F.collect_set(F.struct("a", "b"))).alias("runs")
     found = partly.union(wholly).groupBy("text_key").agg(runs)
-    return stored(found.select("text_key", merge_runs("runs", "a", "b").alias("runs")), "runs")
+    return stored(merge_runs(found), "runs")
 
 
 def _removing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

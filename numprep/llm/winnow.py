@@ -146,9 +146,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     occurring = stored(pieces.join(wanted, ["size", "window"], "left_semi"), "hits")
     spans = occurring.groupBy("doc_id", "_text_key").agg(
-        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("stop")))).alias("_runs")
+        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("stop")))).alias("spans")
     )
-    spans = spans.withColumn("spans", merge_runs("_runs", "start", "stop")).withColumn(
+    spans = merge_runs(spans).withColumn(
         "n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, r: n + (r["stop"] - r["start"]))
     )
     by_item = (
@@ -189,8 +189,10 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    keyed = docs.withColumn("_text_key", text_key())
-    return left_by(keyed, contaminated(docs, items).select("doc_id", "_text_key"), ["doc_id", "_text_key"], "left_anti").drop(
-        "_text_key"
-    )
+    """The documents without a hit, with all their columns, whatever their names.
+
+    Missing texts and empty ones have no hit. Repeated rows all stay or all go. Without items, or without documents, all stay.
+    """
+    keyed = docs.select("doc_id", text_key().alias("_text_key"), F.struct("*").alias("_doc"))
+    hit = contaminated(docs, items).select("doc_id", "_text_key")
+    return left_by(keyed, hit, ["doc_id", "_text_key"], "left_anti").select("_doc.*")

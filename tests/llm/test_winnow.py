@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from numprep.llm.common import merge_runs
 from numprep.llm.winnow import clean, report
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -71,3 +72,19 @@ def test_repeated_rows(spark, documents):
     got = report(documents(rows), benchmark).collect()
     assert sorted(r.n_hit for r in got) == [0, 0, 3, 3, 3]
     assert clean(documents(rows), benchmark).count() == 2
+
+
+def test_runs_merged_as_by_brute_force(spark):
+    draw = random.Random(12)
+    rows = []
+    for i in range(200):
+        starts = sorted(draw.randrange(200) for _ in range(draw.randint(0, 30)))
+        rows.append((i, sorted((a, a + draw.randint(1, 12)) for a in starts)))
+    # Many separate runs of one text take no longer each than a few.
+    rows.append((1000, [(3 * i, 3 * i + 2) for i in range(300_000)]))
+    df = spark.createDataFrame(rows, "id long, runs array<struct<start: int, stop: int>>")
+    for r in merge_runs(df).collect():
+        covered = {x for a, b in dict(rows)[r.id] for x in range(a, b)}
+        edges = sorted(x for x in covered if x - 1 not in covered), sorted(x + 1 for x in covered if x + 1 not in covered)
+        assert [tuple(x) for x in r.runs] == list(zip(*edges, strict=True))
+    assert merge_runs(df.limit(0)).collect() == []
