@@ -246,7 +246,7 @@ def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Stored (node, value) of the nodes wanted, with their texts."""
     keys = wanted.distinct().join(nodes.select("node", "text_key"), "node")
     texts = docs.select(text_key().alias("text_key"), text_of().alias("value"))
-    return stored(texts.join(keys, "text_key").groupBy("node").agg(F.min("value").alias("value")), "texts")
+    return stored(texts.join(keys, "text_key").groupBy("node").agg(F.min("value").alias("value")), "texts", "zstd")
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -353,12 +353,16 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class, with all its columns; of equal rows one. Documents without a word all stay."""
+    """One document of each class, with all its columns, whatever their names; of equal rows one.
+
+    Documents without a word, and with a missing text, all stay. An empty table stays empty.
+    """
     worded = F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False))
     # Keys that are never NULL: copies of a text are dealt by their doc_id too, and the join's partitions serve the last step.
     keys = {"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_none": F.col("doc_id").isNull()}
     kept = classes(docs).where("kept").select(*[c.alias(n) for n, c in keys.items()], F.col("text_key").alias("_key"))
-    keyed = docs.where(worded).withColumns({**keys, "_key": text_key()})
+    packed = F.struct("*").alias("_doc")
+    keyed = docs.where(worded).select(*[c.alias(n) for n, c in keys.items()], text_key().alias("_key"), packed)
     names = ["_id", "_none", "_key"]
-    single = keyed.join(kept.distinct(), names, "left_semi").dropDuplicates(names).drop(*names)
+    single = keyed.join(kept.distinct(), names, "left_semi").dropDuplicates(names).select("_doc.*")
     return single.union(docs.where(~worded))

@@ -151,7 +151,7 @@ def common_lines(measured: DataFrame, docs: DataFrame, max_documents: int = MAX_
     keyed = docs.select(text_key().alias("doc_id"), text_of().alias("text"))
     chosen = keyed.join(having.select(F.col("text_key").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # Classes are found in several passes over the texts.
-    copies = classes(stored(chosen, "chosen")).select("text_key", "class_id").distinct()
+    copies = classes(stored(chosen, "chosen", "zstd")).select("text_key", "class_id").distinct()
     documents = having.join(copies, "text_key").groupBy("host", "line", "class_id").agg(F.lit(1).alias("one"))
     lines = documents.groupBy("host", "line").agg(F.count("*").alias("documents"))
     return lines.where(F.col("documents") > max_documents).select("host", "line")
@@ -189,9 +189,9 @@ def judge_documents(docs: DataFrame, host: str = "source", max_documents: int =
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(columns ..., text, removed) to (columns ..., text) without the lines whose hash is in ``removed``."""
+    """(doc, text, removed) to (doc, text) without the lines whose hash is in ``removed``."""
     for batch in batches:
-        texts, removed = batch.column("text"), batch.column("_removed")
+        texts, removed = batch.column("text"), batch.column("removed")
         out = texts.to_pylist()
         for i in np.flatnonzero(removed.is_valid().to_numpy(zero_copy_only=False)):
             data, offsets = textvec.utf8(texts.slice(i, 1))
@@ -199,19 +199,27 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.isin(textvec.signed(hashes), np.array(removed[int(i)].as_py(), np.int64)) & (words > 0)
             raw = data.tobytes()
             out[i] = b"\n".join(raw[a:b] for a, b in zip(starts[~gone], ends[~gone], strict=True)).decode()
-        names = [n for n in batch.schema.names if n != "_removed"]
-        columns = [pa.array(out, pa.string()) if n == "text" else batch.column(n) for n in names]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, pa.string())], names=["doc", "text"])
 
 
 def keep_good(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """The kept documents with all their columns, their common lines removed and ``n_chars``, if there, counted anew."""
+    """The kept documents with all their columns, whatever their names, and without their common lines.
+
+    ``n_chars``, if there, is counted anew. Missing and empty texts are rejected: they have too few words. Repeated rows
+    come back repeated, and an empty table stays empty. A text is read whole, however long.
+    """
+    keys = ["doc_id", "host", "text_key"]
     verdicts = judge_documents(docs, host, max_documents).where("kept")
-    keys = ["doc_id", "_host", "_text_key"]
-    wanted = verdicts.groupBy(
-        "doc_id", F.col("host").alias("_host"), F.col("text_key").alias("_text_key")
-    ).agg(F.first("removed").alias("_removed"))
-    keyed = docs.withColumns({"_host": F.col(host), "_text_key": text_key(), "text": text_of()})
-    joined = left_by(keyed, wanted, keys, "inner").drop("_host", "_text_key")
-    cut = joined.mapInArrow(_without, T.StructType(docs.schema.fields))
-    return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
+    wanted = verdicts.groupBy(*keys).agg(F.first("removed").alias("removed"))
+    others = [f for f in docs.schema if f.name != "text"]
+    packed = docs.select(
+        "doc_id",
+        F.col(host).alias("host"),
+        text_key().alias("text_key"),
+        F.struct(*[F.col(f"`{f.name}`") for f in others]).alias("doc"),
+        text_of().alias("text"),
+    )
+    joined = left_by(packed, wanted, keys, "inner").select("doc", "text", "removed")
+    cut = joined.mapInArrow(_without, T.StructType([T.StructField("doc", T.StructType(others)), docs.schema["text"]]))
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return cut.select(*[own.get(n, F.col(f"doc.`{n}`")).alias(n) for n in docs.columns])

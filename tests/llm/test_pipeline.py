@@ -79,6 +79,7 @@ def test_run(spark, tables, stages):
 
 def test_empty_documents_and_clashing_columns(spark, tables, documents):
     names = ("size", "target", "taken", "copies", "class_id", "kept", "row", "rows", "node", "bands", "window", "n_words", "shard")
+    names += ("_id", "_none", "_key", "_host", "_text_key", "_removed", "_doc", "_runs", "doc", "host", "removed", "text_key")
     docs = documents([(1, " ".join(map(str, range(50))))]).selectExpr("*", *[f"'x' as {n}" for n in names])
     for rows in (docs, docs.limit(0)):
         made = rows
@@ -92,5 +93,5 @@ def test_queries_are_registered():
     import __spark_entry__ as driver
 
     found = [q for q in driver.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in found) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in found) == list(range(1, 14))
     assert "pipeline" in driver.queries()
