@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from numprep.functions import compiled_apart, round_places, write_number
 
+# The names here, and the ranges, places and affixes in generate_columns, are those of the known tables.
 COLUMNS = ("day_of_month", "height", "account_balance", "net_profit", "customer_ratings", "leaderboard_rank")
 
 # Assumed stored size of one value, for planning.

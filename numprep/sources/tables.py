@@ -56,16 +56,20 @@ def read_table(
     path: str | list[str],
     file_format: str = "parquet",
     schema: T.StructType | str | None = None,
+    foreign: bool = False,
 ) -> DataFrame:
     """File, folder of part files, or glob. CSV and JSON need a schema: inferring one reads the data twice.
 
-    Tables that ``write_table`` has written come back as they were, whatever their texts.
+    Tables that ``write_table`` has written come back as they were, whatever their texts. CSV of other writers is
+    ``foreign``: a backslash is a backslash, quoted cells may hold line breaks, and an empty cell is missing.
     """
     if schema is None and file_format in ("csv", "json"):
         raise ValueError(f"a schema is needed to read {file_format}")
     reader = spark.read.format(file_format).options(**_OPTIONS.get(file_format, {}))
+    if foreign and file_format == "csv":
+        reader = reader.options(nullValue="", multiLine="true")
     df = (reader if schema is None else reader.schema(schema)).load(path)
-    return _texts(df, _all_lines) if file_format == "csv" else df
+    return _texts(df, _all_lines) if file_format == "csv" and not foreign else df
 
 
 def write_table(

@@ -151,3 +151,13 @@ def test_profile(spark):
     assert rows == {"h": (5, 1, 1, 1, 1, 0.0, 250.0), "v": (5, 2, 0, 1, 0, -3.0, 4.0)}
     fitted = fit(df, [ColumnSpec("v", min_val=True, max_val=True)])
     assert profile(df.where("v = 4 or v = -3"), fitted).first()["below_min"] == 0
+
+
+def test_foreign_csv_is_left_alone(spark, tmp_path):
+    (tmp_path / "foreign.csv").write_text('id,path,note\n1,C:\\new\\report,"a\nb"\n2,\\N,"say ""no"""\n3,, x \n')
+    got = read_table(spark, str(tmp_path / "foreign.csv"), "csv", "id long, path string, note string", foreign=True)
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [
+        (1, "C:\\new\\report", "a\nb"),
+        (2, "\\N", 'say "no"'),
+        (3, None, " x "),
+    ]
