@@ -7,9 +7,9 @@ import os
 from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
-from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -40,13 +40,9 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Aligned(NamedTuple):
-    """One text: tokens of either side, groups as text, and the linked pairs as numbers (bytes of int64)."""
-
-    n_a: int
-    n_b: int
-    groups: str
-    pairs: bytes
+#: One text: tokens of either side, groups as text, and the linked pairs as numbers (bytes of int64). Workers remember
+#: many of these, and plain tuples of plain values cost the garbage collector nothing.
+Aligned = tuple[int, int, str, bytes]
 
 
 class Aligner:
@@ -80,6 +76,9 @@ class Aligner:
         ]
         self.sizes_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        #: Each identifier as it stands inside a group, and as the last of its side.
+        self.written_a = np.array([f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"], object)
+        self.written_b = np.array([f"{i}{mark}" for i in range(len(self.bytes_b)) for mark in ",;"], object)
         #: No piece has a blank behind another character: what lies between two blanks is merged by itself.
         self.divisible = not any(
             BLANK in p.lstrip(BLANK) for i, p in enumerate(pieces) if not (b.is_control(i) or b.is_unknown(i))
@@ -110,11 +109,11 @@ class Aligner:
             spans_a = np.concatenate([[0], np.cumsum(width)])[spans_a]
         spans_b = np.array([[p.begin for p in pieces], [p.end for p in pieces]], np.int64).T + 1
         spans_b[0, 0] = 0
-        cuts = np.intersect1d(_ends(spans_a), _ends(spans_b))
+        cuts = _common(_ends(spans_a), _ends(spans_b), len(whole))
         if ascii_only:
             return ids_a, ids_b, cuts
         # Refined cuts, between coarse ones that have a character of several bytes between them.
-        ends = np.intersect1d(np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b]), assume_unique=True)
+        ends = _common(np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b]), len(whole))
         wide = np.concatenate([[0], np.cumsum(np.frombuffer(whole, np.uint8) > 0x7F)])
         bounds = np.concatenate([[0], cuts])
         segment = np.searchsorted(cuts, ends, "left")
@@ -122,28 +121,32 @@ class Aligner:
         ends, segment = ends[inside], segment[inside]
         return ids_a, ids_b, np.union1d(cuts, ends[wide[bounds[segment + 1]] > wide[bounds[segment]]])
 
-    def _groups(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts: np.ndarray) -> tuple[list[int], list[int], list[str], bytes]:
-        """For each cut the tokens of either side before it, its group as text, and the pair it links."""
+    def _groups(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str], bytes]:
+        """For each cut the tokens of either side before it; the written tokens, group by group; the pairs that are linked.
+
+        A written token has behind it what separates it from the next: of A a comma or, last in its group, a bar, of B a
+        comma or a semicolon.
+        """
         to_a = np.searchsorted(np.cumsum(self.sizes_a[ids_a]), cuts, "right")
         to_b = np.searchsorted(np.cumsum(self.sizes_b[ids_b]), cuts, "right")
         pairs = (ids_a[to_a - 1] * _RADIX + ids_b[to_b - 1]).tobytes()
-        to_a, to_b = to_a.tolist(), to_b.tolist()
-        named_a, named_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        groups, i, j = [], 0, 0
-        for x, y in zip(to_a, to_b, strict=True):
-            left = named_a[i] if x - i == 1 else ",".join(named_a[i:x])
-            right = named_b[j] if y - j == 1 else ",".join(named_b[j:y])
-            groups.append(f"{left}|{right}")
-            i, j = x, y
-        return to_a, to_b, groups, pairs
+        code_a, code_b = 2 * ids_a[: to_a[-1]], 2 * ids_b[: to_b[-1]]
+        code_a[to_a - 1] += 1
+        code_b[to_b - 1] += 1
+        # Before a token of A stand those of B of the groups before, before one of B also those of A of its own group.
+        written = np.empty(len(code_a) + len(code_b), object)
+        before = np.concatenate([[0], to_b[:-1]])
+        written[np.arange(len(code_a)) + np.repeat(before, np.diff(to_a, prepend=0))] = self.written_a[code_a]
+        written[np.arange(len(code_b)) + np.repeat(to_a, np.diff(to_b, prepend=0))] = self.written_b[code_b]
+        return to_a, to_b, written.tolist(), pairs
 
     def text(self, text: str) -> Aligned | None:
         """A whole text; None if the bytes of its tokens are not those of a blank and the text."""
         found = self._encode([text])[0]
         if found is None or not len(found[2]):
             return None
-        _, _, groups, pairs = self._groups(*found)
-        return Aligned(len(found[0]), len(found[1]), ";".join(groups), pairs)
+        _, _, written, pairs = self._groups(*found)
+        return len(found[0]), len(found[1]), "".join(written)[:-1], pairs
 
     def _words(self, words: list[str]) -> list[Aligned | bool]:
         """Words, as if each stood behind a blank: many are encoded as one text and told apart by their bytes.
@@ -162,12 +165,12 @@ class Aligner:
         at = np.searchsorted(cuts, stops)
         if at[-1] >= len(cuts) or (cuts[at] != stops).any():
             return None
-        to_a, to_b, groups, pairs = self._groups(ids_a, ids_b, cuts)
-        out, a, b, cut = [], 0, 0, 0
-        for stop in (at + 1).tolist():
-            x, y = to_a[stop - 1], to_b[stop - 1]
-            out.append(Aligned(x - a, y - b, ";".join(groups[cut:stop]), pairs[8 * cut : 8 * stop]))
-            a, b, cut = x, y, stop
+        to_a, to_b, written, pairs = self._groups(ids_a, ids_b, cuts)
+        ends = (to_a[at], to_b[at], to_a[at] + to_b[at], 8 * (at + 1))
+        out, a, b, first, start = [], 0, 0, 0, 0
+        for x, y, last, stop in zip(*(e.tolist() for e in ends), strict=True):
+            out.append((x - a, y - b, "".join(written[first:last])[:-1], pairs[start:stop]))
+            a, b, first, start = x, y, last, stop
         return out
 
     def batch(self, texts: pa.Array) -> list[tuple[list[Aligned | bool | None], np.ndarray, np.ndarray]]:
@@ -195,6 +198,14 @@ def _ends(spans: np.ndarray) -> np.ndarray:
     return spans[keep, 1]
 
 
+def _common(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
+    """The places, of 0 to ``size``, that are in both lists, ascending."""
+    either = np.zeros((2, size + 1), bool)
+    either[0, left] = True
+    either[1, right] = True
+    return np.flatnonzero(either[0] & either[1])
+
+
 _aligners: dict[int, Aligner] = {}
 _DIGESTS = ("n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "_row long, _pairs array<long>, _times array<int>")
@@ -229,7 +240,7 @@ def _digests(aligner: Aligner, keys: pa.Array, texts: pa.Array, row: int) -> pa.
     keep = np.repeat(has, np.diff(offsets))
     text_of = np.repeat(np.arange(n), np.diff(offsets))[keep]
     which = which[keep]
-    nothing = Aligned(0, 0, "", b"")
+    nothing = (0, 0, "", b"")
     found = [f or nothing for f in found]
     sizes = np.array([[f[0] for f in found], [f[1] for f in found], [len(f[3]) // 8 for f in found]], np.int64).T
     n_a, n_b, links = (np.bincount(text_of, sizes[which, i], n).astype(np.int64) for i in range(3))
@@ -238,7 +249,7 @@ def _digests(aligner: Aligner, keys: pa.Array, texts: pa.Array, row: int) -> pa.
     first = np.cumsum(sizes[:, 2]) - sizes[:, 2]
     pairs = flat[textvec.ranges(first[which], counts)]
     # Different pairs of a text: sorted by text and pair.
-    kinds, named = np.unique(pairs, return_inverse=True)
+    named, kinds = pd.factorize(pairs)
     both, times = np.unique(np.repeat(text_of, counts) * max(len(kinds), 1) + named, return_counts=True)
     starts = np.searchsorted(both, np.arange(n + 1) * max(len(kinds), 1)).astype(np.int32)
     groups = np.array([f[2] for f in found] + [""], object)[which].tolist()
