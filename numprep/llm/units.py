@@ -9,21 +9,35 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from numprep.llm import textvec
+
 #: Results of units in each of the two generations that a worker remembers. It changes the time taken, nothing else.
 REMEMBERED = 100_000
 
 
+#: Kinds that a ``FlatMemory`` keeps; a kind takes about 40 bytes there.
+KEPT = 150_000
+
+
 @dataclass
 class Units:
     """Units of some texts: ``kinds`` are the different ones, ``which`` the kind of each unit, ``offsets`` by text."""
 
-    kinds: list[str]
+    kinds: list[str] | pa.Array
     which: np.ndarray
     offsets: np.ndarray
 
 
 def cut(texts: pa.Array, blank: str, whole: Callable[[pa.Array], pa.Array], split: Callable[[str], list[str]]) -> Units:
     """Cut at every ``blank``, which belongs to the unit after it; texts that ``whole`` marks are cut by ``split``."""
+    units = cut_flat(texts, blank, whole, split)
+    return Units(units.kinds.to_numpy(zero_copy_only=False).tolist(), units.which, units.offsets)
+
+
+def cut_flat(
+    texts: pa.Array, blank: str, whole: Callable[[pa.Array], pa.Array], split: Callable[[str], list[str]]
+) -> Units:
+    """As ``cut``, with the kinds as an Arrow column."""
     texts = texts.fill_null("")
     odd = np.flatnonzero(whole(texts).to_numpy(zero_copy_only=False))
     plain = texts
@@ -43,8 +57,9 @@ def cut(texts: pa.Array, blank: str, whole: Callable[[pa.Array], pa.Array], spli
     used = np.zeros(2 * n, bool)
     used[which] = True
     behind, first = np.flatnonzero(used[:n]), np.flatnonzero(used[n:])
-    kinds = pc.binary_join_element_wise(blank, words.take(pa.array(behind)), "").to_numpy(zero_copy_only=False).tolist()
-    kinds += words.take(pa.array(first)).to_numpy(zero_copy_only=False).tolist()
+    kinds = pa.concat_arrays(
+        [pc.binary_join_element_wise(blank, words.take(pa.array(behind)), ""), words.take(pa.array(first))]
+    )
     which = (np.cumsum(used) - 1)[which]
     if len(odd):
         pieces = [split(texts[int(i)].as_py()) for i in odd]
@@ -57,7 +72,7 @@ def cut(texts: pa.Array, blank: str, whole: Callable[[pa.Array], pa.Array], spli
             rows[i] = np.array([number[u] + len(kinds) for u in piece], np.int64)
         which = np.concatenate(rows)
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        kinds += list(number)
+        kinds = pa.concat_arrays([kinds, pa.array(list(number), kinds.type)])
     return Units(kinds, which, offsets)
 
 
@@ -86,3 +101,38 @@ class Memory:
             self.older, self.newer = newer, {}
         self.newer.update(zip(names, fresh, strict=True))
         return out
+
+
+class FlatMemory:
+    """Identifiers of kinds met lately, as columns: of too many kinds, those that were not met for longest are forgotten.
+
+    ``compute`` gives the identifiers of a column of kinds, one after the other, and how many each kind has.
+    """
+
+    def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], kept: int = KEPT):
+        self.compute = compute
+        self.kept = kept
+        self.kinds = pa.array([], pa.string())
+        self.flat, self.counts, self.met = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.time = 0
+
+    def results(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Identifiers, and for each kind where its own start among them and how many they are."""
+        self.time += 1
+        at = pc.index_in(kinds, value_set=self.kinds).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        known = at >= 0
+        self.met[at[known]] = self.time
+        fresh = kinds.filter(pa.array(~known))
+        found, sizes = self.compute(fresh)
+        at[~known] = len(self.kinds) + np.arange(len(fresh))
+        self.kinds = pa.concat_arrays([self.kinds, fresh])
+        self.flat = np.concatenate([self.flat, found])
+        self.counts = np.concatenate([self.counts, sizes])
+        self.met = np.concatenate([self.met, np.full(len(fresh), self.time)])
+        flat, counts = self.flat, self.counts
+        starts = np.cumsum(counts) - counts
+        if len(counts) > self.kept:
+            stay = np.sort(np.argsort(-self.met, kind="stable")[: self.kept])
+            self.kinds = self.kinds.take(pa.array(stay))
+            self.flat, self.counts, self.met = flat[textvec.ranges(starts[stay], counts[stay])], counts[stay], self.met[stay]
+        return flat, starts[at], counts[at]
