@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from numprep.functions import seconds, ticks
@@ -174,14 +175,15 @@ def split_by_phase(samples: DataFrame, bounds: DataFrame, source: str, time: str
     with all of its source.
     """
     tick, per_second = _ticks(samples, time)
-    timed = samples.withColumn("__at", seconds(tick, per_second).cast("double"))
+    plain = isinstance(samples.schema[time].dataType, T.DoubleType)
+    timed = samples if plain else samples.withColumn("__at", seconds(tick, per_second).cast("double"))
     wanted = bounds.select(
         quoted(source),
         quoted(phase).alias(phase),
         F.col("start").cast("double").alias("__start"),
         F.col("end").cast("double").alias("__end"),
     )
-    inside = interval_join(timed, wanted, [source], "__at", "__start", "__end")
+    inside = interval_join(timed, wanted, [source], time if plain else "__at", "__start", "__end")
     return inside.select(*[quoted(name) for name in samples.columns], quoted(phase))
 
 

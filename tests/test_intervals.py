@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from numprep.operators import interval_join, total_before
-from numprep.operators.intervals import interval_candidates
+from numprep.operators import intervals as module
+from numprep.operators.intervals import binned, interval_candidates
 
 POINTS, INTERVALS = "k string, id int, x double", "k string, name int, lo double, hi double"
 
@@ -69,6 +70,36 @@ def test_hot_key_with_many_intervals_costs_those_near(spark):
     assert listed.count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_crowded_bins_against_all_pairs(spark, seed, monkeypatch):
+    monkeypatch.setattr(module, "CROWD", 1)
+    points, intervals = _random(seed)
+    intervals += [("b", 900 + n, n / 7, n / 7 + 0.001 * n) for n in range(40)] + [("a", 990, -50.0, 50_000.0)]
+    tables = spark.createDataFrame(points, POINTS), spark.createDataFrame(intervals, INTERVALS)
+    found = interval_join(*tables, ["k"], "x", "lo", "hi", True)
+    assert _pairs(found) == _by_hand(points, intervals, True)
+
+
+def test_rare_lengths_cost_no_rows(spark):
+    """Of ten length classes two are common; a point asked for a bin of every class before."""
+    lengths = "pow(4.0D, case when id % 50 < 10 then 2 - id % 10 when id % 50 > 48 then 5 else 3 + id % 2 end)"
+    windows = spark.range(2000).selectExpr("'a' k", "id name", "id * 40.0D lo", f"id * 40.0D + {lengths} hi")
+    points = spark.range(5000).selectExpr("'a' k", "id", "id * 16.0D x")
+    asked, listed = binned(points, windows, ["k"], "x", "lo", "hi")
+    assert asked.count() <= 2 * 5000 and listed.count() < 4 * 2000
+    assert interval_candidates(points, windows, ["k"], "x", "lo", "hi").count() < 4 * interval_join(
+        points, windows, ["k"], "x", "lo", "hi").count()
+
+
+def test_crowded_bins_bound_what_a_point_meets(spark):
+    """A burst of short windows in one key, while those of the other keys are long."""
+    burst = spark.range(3000).selectExpr("'a' k", "id name", "id / 100.0D lo", "id / 100.0D + 0.01D hi")
+    slow = spark.range(4000).selectExpr("'b' k", "id + 5000 name", "id * 50.0D lo", "id * 50.0D + 50.0D hi")
+    points = spark.range(3000).selectExpr("'a' k", "id", "id / 100.0D x")
+    args = (points, burst.unionByName(slow), ["k"], "x", "lo", "hi")
+    assert interval_candidates(*args).count() < 4 * interval_join(*args).count()
+
+
 def test_plan_is_an_equi_join(spark):
     points, intervals = _random(0)
     df = interval_join(spark.createDataFrame(points, POINTS), spark.createDataFrame(intervals, INTERVALS), ["k"], "x", "lo", "hi")
