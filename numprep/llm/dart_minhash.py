@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from numprep.llm import textvec
-from numprep.llm.common import WORD, ship, stored, text_key, text_of
+from numprep.llm.common import WORD, few, ship, stored, text_key, text_of
 from numprep.llm.components import components
 
 #: Words of a shingle; a text of fewer words is one shingle.
@@ -113,25 +113,33 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
     return out
 
 
+def signature_column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The signature of each text as bytes, missing for texts without a word."""
+    made, full = signatures(data, offsets)
+    return pa.array([row.tobytes() if ok else None for row, ok in zip(made, full, strict=True)], pa.binary())
+
+
 def _signing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = textvec.utf8(batch.column(batch.num_columns - 1))
         for a, b in textvec.slices(offsets):
-            signature, full = signatures(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            bands = band_hashes(signature)
-            count = np.where(full, bands.shape[1], 0)
-            names = pa.array(textvec.signed(bands[full].reshape(-1)))
-            raw = [row.tobytes() if ok else None for row, ok in zip(signature, full, strict=True)]
+            made = signature_column(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
-                + [
-                    pa.array(raw, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), names),
-                ],
-                names=[*batch.schema.names[:-1], "signature", "bands"],
+                [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)] + [made],
+                names=[*batch.schema.names[:-1], "signature"],
             )
 
 
+def _banding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, signature) to rows (node, bucket), one for each band."""
+    for batch in batches:
+        bands = band_hashes(_rows(batch.column("signature")))
+        node = np.repeat(batch.column("node").to_numpy(), bands.shape[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node), pa.array(textvec.signed(bands.reshape(-1)))], names=["node", "bucket"]
+        )
+
+
 def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left == right).sum(axis=1) / COORDINATES
 
@@ -194,21 +202,35 @@ def block_similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     return shared / np.maximum(sizes[0][:, None] + sizes[1][None, :] - shared, 1)
 
 
-def _crossing_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(one, other), lists of (node, component, text), to links of different components.
+def _alike_texts(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which texts of one block are similar enough to which of another."""
+    return block_similarities(left, right) >= SIMILARITY - 1e-12
+
+
+def _alike_signatures(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which signatures of one block agree enough with which of another."""
+    one, other = _rows(left), _rows(right)
+    return np.stack([_agreement(row, other) for row in one]) >= LEAST_AGREEMENT
+
+
+def _crossing_blocks(alike: Callable[[pa.Array, pa.Array], np.ndarray]):
+    """(one, other), lists of (node, component, value), to links of different components.
 
     A node is linked once to each component of the other block: more links would connect nothing more.
     """
-    for batch in batches:
-        for row in range(batch.num_rows):
-            sides = [batch.column(name)[row].values for name in ("one", "other")]
-            (a, ca), (b, cb) = ((np.asarray(s.field(0)), np.asarray(s.field(1))) for s in sides)
-            alike = block_similarities(sides[0].field(2), sides[1].field(2)) >= SIMILARITY - 1e-12
-            i, j = np.nonzero(alike & (ca[:, None] != cb[None, :]))
-            if len(i):
-                _, first = np.unique(np.stack([i, cb[j]]), axis=1, return_index=True)
-                low, high = np.minimum(a[i], b[j])[first], np.maximum(a[i], b[j])[first]
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sides = [batch.column(name)[row].values for name in ("one", "other")]
+                (a, ca), (b, cb) = ((np.asarray(s.field(0)), np.asarray(s.field(1))) for s in sides)
+                i, j = np.nonzero(alike(sides[0].field(2), sides[1].field(2)) & (ca[:, None] != cb[None, :]))
+                if len(i):
+                    _, first = np.unique(np.stack([i, cb[j]]), axis=1, return_index=True)
+                    low, high = np.minimum(a[i], b[j])[first], np.maximum(a[i], b[j])[first]
+                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    return run
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -244,7 +266,7 @@ def _with_values(pairs: DataFrame, values: DataFrame) -> DataFrame:
 
 def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Stored (node, value) of the nodes wanted, with their texts."""
-    keys = wanted.distinct().join(nodes.select("node", "text_key"), "node")
+    keys = few(stored(wanted.distinct().join(nodes.select("node", "text_key"), "node"), "wanted"))
     texts = docs.select(text_key().alias("text_key"), text_of().alias("value"))
     return stored(texts.join(keys, "text_key").groupBy("node").agg(F.min("value").alias("value")), "texts", "zstd")
 
@@ -256,37 +278,47 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     return stored(_with_values(pairs, texts).mapInArrow(_confirming, "a long, b long"), "links")
 
 
-def _crowded(seen: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _crowded(
+    seen: DataFrame, values_of: Callable[[DataFrame], DataFrame], alike: Callable[[pa.Array, pa.Array], np.ndarray]
+) -> DataFrame:
     """Links (a, b) between components, of rows (main, node, component) of buckets too large for one task.
 
     Buckets with the same largest component are taken together, so that no pair is compared once per band. Members
-    outside that component are compared with all members, in blocks, by their texts.
+    outside that component are compared with all members, in blocks, by their texts or signatures.
     """
     members = stored(seen.select("main", "node", "component").distinct(), "crowded")
-    texts = _texts(members.select("node"), nodes, docs)
+    values = values_of(members.select("node"))
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
         counts = rows.groupBy("main").agg(F.ceil(F.count("*") / TEXT_BLOCK).alias("blocks"))
-        full = rows.join(counts, "main").join(texts, "node")
+        full = rows.join(counts, "main").join(values, "node")
         number = F.pmod(F.xxhash64("node"), "blocks").alias(f"{name}_block")
-        row = F.struct("node", "component", F.col("value").alias("text"))
+        row = F.struct("node", "component", "value")
         return full.groupBy("main", number).agg(F.collect_list(row).alias(name))
 
     outside = blocks(members.where("component != main"), "one")
     pairs = outside.join(blocks(members, "other"), "main").select("one", "other")
-    return stored(pairs.mapInArrow(_crossing_blocks, "a long, b long"), "links")
+    return stored(pairs.mapInArrow(_crossing_blocks(alike), "a long, b long"), "links")
 
 
-def links(signed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def links(
+    signed: DataFrame,
+    confirmed: Callable[[DataFrame], DataFrame],
+    values_of: Callable[[DataFrame], DataFrame],
+    alike: Callable[[pa.Array, pa.Array], np.ndarray],
+) -> DataFrame:
     """Links (a, b) of distinct texts that connect all that are similar, without making all pairs of a bucket.
 
+    ``confirmed`` stores those of the pairs that are links, ``values_of`` gives the values (node, value) of nodes, and
+    ``alike`` tells which values of two blocks are linked: all by texts, or all by signatures.
+
     First each member of a bucket is compared with the bucket's centre, the text that shares most buckets with others:
     of copies with small changes, that is the one they were made from. The confirmed links make components. Then, in
     buckets with more than one component, pairs of different components are compared: by their signatures, and those
     that agree by their texts; in large buckets by their texts at once, in blocks, and only the members outside the largest
     component with all members. So every two texts that share a band are compared, or already connected.
     """
-    members = signed.select("node", F.explode("bands").alias("bucket"))
+    members = signed.select("node", "signature").mapInArrow(_banding, "node long, bucket long")
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(members.join(shared, "bucket"), "members")
     scores = members.groupBy("node").agg(F.sum("n").alias("score"))
@@ -300,7 +332,7 @@ def links(signed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     star = star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     values = signed.select("node", F.col("signature").alias("value"))
     likely = _with_values(star, values).mapInArrow(_agreeing, "a long, b long")
-    found = _confirmed(likely, nodes, docs)
+    found = confirmed(likely)
 
     names = components(found)
     named = members.join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -313,9 +345,23 @@ def links(signed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     row = F.struct("node", "component", "signature")
     few = seen.where(F.col("n") <= BLOCK).join(signed.select("node", "signature"), "node")
     crossing = few.groupBy("bucket").agg(F.collect_list(row).alias("members")).mapInArrow(_crossing, "a long, b long")
-    found = found.union(_confirmed(crossing, nodes, docs))
+    found = found.union(confirmed(crossing))
     crowded = seen.where(F.col("n") > BLOCK)
-    return found if crowded.isEmpty() else found.union(_crowded(crowded, nodes, docs))
+    return found if crowded.isEmpty() else found.union(_crowded(crowded, values_of, alike))
+
+
+def coarse_classes(texts: DataFrame) -> DataFrame:
+    """Rows (text_key, group) of the distinct texts among rows (row, text_key, signature), none of them without a word.
+
+    Groups are made as the classes are, by the agreement of signatures alone, so each class lies within one group (but for
+    the probabilities above) and a group may have several. No text is read.
+    """
+    nodes = stored(texts.groupBy("text_key").agg(F.min("row").alias("node")), "nodes")
+    rows = texts.select(F.col("row").alias("node"), "signature")
+    signed = stored(rows.join(few(nodes.select("node")), "node", "left_semi"), "signed")
+    values = signed.select("node", F.col("signature").alias("value"))
+    found = links(signed, lambda pairs: stored(pairs, "likely"), lambda wanted: values, _alike_signatures)
+    return nodes.join(components(found), "node", "left").select("text_key", F.coalesce("component", "node").alias("group"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -331,12 +377,15 @@ def classes(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "doc_id", text_key().alias("text_key"), text_of().alias("_text")
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, text_key binary, signature binary, bands array<long>"
+    schema = f"row long, doc_id {kind}, text_key binary, signature binary"
     rows = stored(keyed.mapInArrow(_signing, schema), "signatures")
     worded = rows.where("signature is not null")
     nodes = stored(worded.groupBy("text_key").agg(F.min("row").alias("node")), "nodes")
     signed = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
-    names = components(links(signed, nodes, docs))
+    found = links(
+        signed, lambda pairs: _confirmed(pairs, nodes, docs), lambda wanted: _texts(wanted, nodes, docs), _alike_texts
+    )
+    names = components(found)
     classed = nodes.join(names, "node", "left").select("text_key", F.coalesce("component", "node").alias("class"))
     placed = rows.select("row", "doc_id", "text_key").join(classed, "text_key", "left")
     placed = placed.withColumn("class", F.coalesce("class", "row"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from numprep.llm import textvec
-from numprep.llm.common import left_by, ship, stored, text_key, text_of
-from numprep.llm.dart_minhash import classes
+from numprep.llm.common import few, left_by, ship, stored, text_key, text_of
+from numprep.llm.dart_minhash import classes, coarse_classes, signature_column
 
 #: Words of a window that counts as repeated in its text.
 REPEAT_WINDOW = 8
@@ -89,7 +89,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key columns ..., text) to the key columns, the counts, and hash and words of each different line."""
+    """(key columns ..., text) to the key columns, the counts, the signature, and hash and words of each different line."""
     for batch in batches:
         data, offsets = textvec.utf8(batch.column(batch.num_columns - 1))
         for a, b in textvec.slices(offsets):
@@ -110,13 +110,13 @@ def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
                 + [pa.array(x.astype(np.int64)) for x in _measure(part, own)]
-                + [pa.ListArray.from_arrays(pa.array(ends), lines)],
-                names=[*batch.schema.names[:-1], *_COUNTS, "lines"],
+                + [signature_column(part, own), pa.ListArray.from_arrays(pa.array(ends), lines)],
+                names=[*batch.schema.names[:-1], *_COUNTS, "signature", "lines"],
             )
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Stored rows (row, doc_id, host, text_key, counts ..., lines) of all documents; ``row`` tells them apart."""
+    """Stored rows (row, doc_id, host, text_key, counts ..., signature, lines) of all documents; ``row`` tells them apart."""
     ship(docs.sparkSession)
     keyed = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -130,7 +130,7 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     counts = ", ".join(f"{name} long" for name in _COUNTS)
     schema = (
         f"row long, doc_id {kind}, host {host_kind}, text_key binary, {counts}, "
-        "lines array<struct<line: long, words: long>>"
+        "signature binary, lines array<struct<line: long, words: long>>"
     )
     return stored(keyed.mapInArrow(_measuring, schema), "lines")
 
@@ -142,19 +142,37 @@ def common_lines(measured: DataFrame, docs: DataFrame, max_documents: int = MAX_
     a line of more than ``max_documents`` texts of a host. Only these are compared, so a chain of near copies is not
     followed through a text that has no such line. Rows are counted with partial sums before each shuffle, so a line that
     a third of all documents have is never in one task.
+
+    The texts are put in groups by their signatures first. A line with texts in enough groups is in as many classes at
+    least; only for the other lines, all texts of their groups are read, and their classes found.
     """
     seen = measured.select("host", "text_key", F.explode("lines.line").alias("line"))
     texts = seen.groupBy("host", "line", "text_key").agg(F.lit(1).alias("one"))
     often = texts.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > max_documents)
     often = stored(often.select("host", "line"), "often")
     having = stored(left_by(seen, often, ["host", "line"], "left_semi").distinct(), "having")
+    keys = few(stored(having.select("text_key").distinct(), "keys"))
+    signed = measured.select("row", "text_key", "signature").join(keys, "text_key", "left_semi")
+    groups = stored(coarse_classes(signed), "groups")
+    grouped = stored(_spread(having, groups, "group"), "spread")
+    enough, unclear = grouped.where(F.col("documents") > max_documents), grouped.where(F.col("documents") <= max_documents)
+    if unclear.isEmpty():
+        return enough.select("host", "line")
+    open_texts = left_by(having, unclear, ["host", "line"], "left_semi")
+    wanted = groups.join(open_texts.join(groups, "text_key").select("group").distinct(), "group", "left_semi")
+    wanted = few(stored(wanted.select(F.col("text_key").alias("doc_id")), "wanted"))
     keyed = docs.select(text_key().alias("doc_id"), text_of().alias("text"))
-    chosen = keyed.join(having.select(F.col("text_key").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # Classes are found in several passes over the texts.
-    copies = classes(stored(chosen, "chosen", "zstd")).select("text_key", "class_id").distinct()
-    documents = having.join(copies, "text_key").groupBy("host", "line", "class_id").agg(F.lit(1).alias("one"))
-    lines = documents.groupBy("host", "line").agg(F.count("*").alias("documents"))
-    return lines.where(F.col("documents") > max_documents).select("host", "line")
+    chosen = stored(keyed.join(wanted, "doc_id", "left_semi"), "chosen", "zstd")
+    copies = classes(chosen).select("text_key", "class_id").distinct()
+    lines = _spread(open_texts, copies, "class_id").where(F.col("documents") > max_documents)
+    return enough.select("host", "line").union(lines.select("host", "line"))
+
+
+def _spread(having: DataFrame, parts: DataFrame, part: str) -> DataFrame:
+    """Rows (host, line, documents) of rows (host, line, text_key): in how many parts of the texts a line is."""
+    documents = having.join(parts, "text_key").groupBy("host", "line", part).agg(F.lit(1).alias("one"))
+    return documents.groupBy("host", "line").agg(F.count("*").alias("documents"))
 
 
 def judge_documents(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
@@ -172,7 +190,7 @@ def judge_documents(docs: DataFrame, host: str = "source", max_documents: int =
         .groupBy("row")
         .agg(F.sum("words").alias("lost"), F.collect_list("line").alias("removed"))
     )
-    joined = measured.drop("lines").join(lost, "row", "left")
+    joined = measured.drop("lines", "signature").join(lost, "row", "left")
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = F.col("lost").isNotNull() & ((left < LEAST_WORDS) | (left < F.col("n_words") * LEAST_SHARE))

@@ -141,6 +141,31 @@ def test_near_copies_do_not_hide_a_line_of_unrelated_documents(documents):
     assert not [(r.doc_id, r.host) for r in got if r.words_left != (210 if r.host == "copies" else 200)]
 
 
+def test_lines_of_unrelated_documents_are_found_without_their_texts(documents, monkeypatch):
+    def classes(docs):
+        raise AssertionError("texts are compared")
+
+    monkeypatch.setattr(line_quality, "classes", classes)
+    draw = random.Random(19)
+    footer = words(draw, 10)
+    rows = [(i, f"{words(draw, 60)}\n{footer}", "a") for i in range(30)]
+    assert all(r.kept and r.words_left == 60 for r in judge_documents(documents(rows)).collect())
+
+
+def test_a_line_of_texts_with_like_signatures_that_are_no_copies_is_removed(documents):
+    draw = random.Random(23)
+    footer = words(draw, 10)
+    base = words(draw, 300).split()
+    rows = []
+    for i in range(30):
+        text = list(base)
+        for k in draw.sample(range(0, 300, 10), 6):
+            text[k] = words(draw, 1)
+        rows.append((i, f"{' '.join(text)}\n{footer}", "a"))
+    got = judge_documents(documents(rows)).collect()
+    assert len(got) == 30 and all(r.kept and r.words_left == 300 for r in got)
+
+
 def test_empty_table_and_repeated_rows(documents):
     assert judge_documents(documents([])).collect() == []
     assert keep_good(documents([])).collect() == []
