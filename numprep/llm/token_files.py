@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from numprep.llm import pfor, textvec
-from numprep.llm.common import ship, text_key, text_of
+from numprep.llm.common import ship, text_of
 from numprep.llm.units import FlatMemory, cut_flat
 
 #: Identifier behind the last one of each document.
@@ -241,7 +241,7 @@ def write_tokens(docs: DataFrame, model_path: str, path: str) -> None:
     model = Path(model_path).read_bytes()
     kind = docs.schema["doc_id"].dataType
     doc_id = F.col("doc_id").cast("long") if isinstance(kind, T.IntegralType) else F.col("doc_id")
-    keyed = docs.select(doc_id.alias("doc_id"), text_key().alias("_text_key"), text_of().alias("_text"))
+    keyed = docs.select(doc_id.alias("doc_id"), F.xxhash64(text_of()).alias("_text_key"), text_of().alias("_text"))
     ranged = keyed.repartitionByRange("doc_id", "_text_key").sortWithinPartitions("doc_id", "_text_key")
     schema = FILE_SCHEMA.format(kind=keyed.schema["doc_id"].dataType.simpleString())
     ranged.select("doc_id", "_text").mapInArrow(_segments(model), schema).write.parquet(path)
