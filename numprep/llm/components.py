@@ -12,9 +12,10 @@ def components(links: DataFrame) -> DataFrame:
     """Rows (node, component), of the nodes that rows (a, b) link; a component is named by its least node.
 
     Each round takes the least name among a node and its neighbours, and then that name's own name, so that long chains
-    halve. Rounds are stored, and no node's neighbours meet in one task: names are minimised before the shuffle.
+    halve. Rounds are stored, and no node's neighbours meet in one task: names are minimised before the shuffle. The end
+    is reached when no link has two names.
     """
-    edges = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    edges = links.select("a", "b").union(links.select("b", "a"))
     names = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("component")), "names")
     while True:
         near = (
@@ -23,12 +24,9 @@ def components(links: DataFrame) -> DataFrame:
             .agg(F.min("component").alias("least"))
             .withColumnRenamed("a", "node")
         )
-        lowered = names.join(near, "node").select(
-            "node", F.col("component").alias("was"), F.least("component", "least").alias("name")
-        )
+        lowered = names.join(near, "node").select("node", F.least("component", "least").alias("name"))
         jump = names.select(F.col("node").alias("name"), F.col("component").alias("further"))
-        again = stored(lowered.join(jump, "name").select("node", "was", F.col("further").alias("component")), "names")
-        names = again.select("node", "component")
-        if again.where("component < was").isEmpty():
-            # Nothing was lowered by a neighbour or by a name's name, so every component has one name.
+        names = stored(lowered.join(jump, "name").select("node", F.col("further").alias("component")), "names")
+        ends = [names.select(F.col("node").alias(e), F.col("component").alias(f"name_{e}")) for e in ("a", "b")]
+        if links.join(ends[0], "a").join(ends[1], "b").where("name_a != name_b").isEmpty():
             return names

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from numprep.llm import textvec
 from numprep.llm.common import WORD, few, ship, stored, text_key, text_of
@@ -140,46 +141,47 @@ def _banding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _shortening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, signature) to (node, value): the last byte of each coordinate."""
+    for batch in batches:
+        short = np.ascontiguousarray(_rows(batch.column("signature")).astype(np.uint8))
+        values = pa.array([row.tobytes() for row in short], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), values], names=["node", "value"])
+
+
 def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left == right).sum(axis=1) / COORDINATES
 
 
-def _rows(column: pa.Array) -> np.ndarray:
+def _rows(column: pa.Array, kind: type = np.uint32) -> np.ndarray:
     """Signatures of a binary column."""
     raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.uint32).reshape(-1, COORDINATES)
+    return np.frombuffer(raw, kind).reshape(-1, COORDINATES)
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, left, right) to the pairs (a, b) whose signatures agree enough."""
+    """(a, b, left, right) to the pairs (a, b) whose shortened signatures agree enough: all that agree enough in full."""
     for batch in batches:
-        keep = _agreement(_rows(batch.column("left")), _rows(batch.column("right"))) >= LEAST_AGREEMENT
+        left, right = (_rows(batch.column(name), np.uint8) for name in ("left", "right"))
+        keep = _agreement(left, right) >= LEAST_AGREEMENT
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, members), lists of (node, component, signature), to agreeing pairs of different components.
-
-    A pair that shares several buckets is told in that of its first band only.
-    """
+    """(members), lists of (node, component, value), to agreeing pairs of different components."""
     for batch in batches:
         column = batch.column("members")
         flat = column.flatten()
         offsets = np.asarray(column.offsets).astype(np.int64)
         offsets -= offsets[0]
         node, part = np.asarray(flat.field(0)), np.asarray(flat.field(1))
-        signature = _rows(flat.field(2))
-        bands = textvec.signed(band_hashes(signature))
-        buckets = np.asarray(batch.column("bucket"))
+        value = _rows(flat.field(2), np.uint8)
         for row in range(batch.num_rows):
             i, j = (x + offsets[row] for x in np.triu_indices(offsets[row + 1] - offsets[row], 1))
             apart = part[i] != part[j]
             i, j = i[apart], j[apart]
-            alike = _agreement(signature[i], signature[j]) >= LEAST_AGREEMENT
+            alike = _agreement(value[i], value[j]) >= LEAST_AGREEMENT
             i, j = i[alike], j[alike]
-            first = (bands[i] == bands[j]).argmax(axis=1)
-            here = bands[i, first] == buckets[row]
-            i, j = i[here], j[here]
             if len(i):
                 low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
                 yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
@@ -207,30 +209,20 @@ def _alike_texts(left: pa.Array, right: pa.Array) -> np.ndarray:
     return block_similarities(left, right) >= SIMILARITY - 1e-12
 
 
-def _alike_signatures(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Which signatures of one block agree enough with which of another."""
-    one, other = _rows(left), _rows(right)
-    return np.stack([_agreement(row, other) for row in one]) >= LEAST_AGREEMENT
-
-
-def _crossing_blocks(alike: Callable[[pa.Array, pa.Array], np.ndarray]):
+def _crossing_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(one, other), lists of (node, component, value), to links of different components.
 
     A node is linked once to each component of the other block: more links would connect nothing more.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                sides = [batch.column(name)[row].values for name in ("one", "other")]
-                (a, ca), (b, cb) = ((np.asarray(s.field(0)), np.asarray(s.field(1))) for s in sides)
-                i, j = np.nonzero(alike(sides[0].field(2), sides[1].field(2)) & (ca[:, None] != cb[None, :]))
-                if len(i):
-                    _, first = np.unique(np.stack([i, cb[j]]), axis=1, return_index=True)
-                    low, high = np.minimum(a[i], b[j])[first], np.maximum(a[i], b[j])[first]
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
-
-    return run
+    for batch in batches:
+        for row in range(batch.num_rows):
+            sides = [batch.column(name)[row].values for name in ("one", "other")]
+            (a, ca), (b, cb) = ((np.asarray(s.field(0)), np.asarray(s.field(1))) for s in sides)
+            i, j = np.nonzero(_alike_texts(sides[0].field(2), sides[1].field(2)) & (ca[:, None] != cb[None, :]))
+            if len(i):
+                _, first = np.unique(np.stack([i, cb[j]]), axis=1, return_index=True)
+                low, high = np.minimum(a[i], b[j])[first], np.maximum(a[i], b[j])[first]
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -271,23 +263,21 @@ def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(texts.join(keys, "text_key").groupBy("node").agg(F.min("value").alias("value")), "texts", "zstd")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs of nodes whose texts are similar enough; only texts of the pairs are looked at."""
-    pairs = stored(pairs, "pairs")
-    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), nodes, docs)
-    return stored(_with_values(pairs, texts).mapInArrow(_confirming, "a long, b long"), "links")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+
 
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs whose texts (node, value) are similar enough."""
+    return _with_values(pairs, texts).mapInArrow(_confirming, "a long, b long")
 
-def _crowded(
-    seen: DataFrame, values_of: Callable[[DataFrame], DataFrame], alike: Callable[[pa.Array, pa.Array], np.ndarray]
-) -> DataFrame:
+
+def _crowded(members: DataFrame, values: DataFrame) -> DataFrame:
     """Links (a, b) between components, of rows (main, node, component) of buckets too large for one task.
 
     Buckets with the same largest component are taken together, so that no pair is compared once per band. Members
-    outside that component are compared with all members, in blocks, by their texts or signatures.
+    outside that component are compared with all members, in blocks, by their texts (node, value).
     """
-    members = stored(seen.select("main", "node", "component").distinct(), "crowded")
-    values = values_of(members.select("node"))
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
         counts = rows.groupBy("main").agg(F.ceil(F.count("*") / TEXT_BLOCK).alias("blocks"))
@@ -298,41 +288,41 @@ def _crowded(
 
     outside = blocks(members.where("component != main"), "one")
     pairs = outside.join(blocks(members, "other"), "main").select("one", "other")
-    return stored(pairs.mapInArrow(_crossing_blocks(alike), "a long, b long"), "links")
+    return pairs.mapInArrow(_crossing_blocks, "a long, b long")
 
 
-def links(
-    signed: DataFrame,
-    confirmed: Callable[[DataFrame], DataFrame],
-    values_of: Callable[[DataFrame], DataFrame],
-    alike: Callable[[pa.Array, pa.Array], np.ndarray],
-) -> DataFrame:
-    """Links (a, b) of distinct texts that connect all that are similar, without making all pairs of a bucket.
+def bucket_members(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (node, bucket, n) of the buckets that several of the nodes (node, signature) have, n tells how many; and
+    stored (node, value) of the nodes in them, with their signatures shortened to what tells whether they agree."""
+    members = signed.select("node", "signature").mapInArrow(_banding, "node long, bucket long")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(members.join(shared, "bucket"), "members")
+    near = few(stored(members.select("node").distinct(), "near"))
+    values = signed.select("node", "signature").join(near, "node", "left_semi")
+    return members, stored(values.mapInArrow(_shortening, "node long, value binary"), "values")
+
 
-    ``confirmed`` stores those of the pairs that are links, ``values_of`` gives the values (node, value) of nodes, and
-    ``alike`` tells which values of two blocks are linked: all by texts, or all by signatures.
+def links(members: DataFrame, values: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of distinct texts that connect all that are similar, without making all pairs of a bucket.
 
     First each member of a bucket is compared with the bucket's centre, the text that shares most buckets with others:
     of copies with small changes, that is the one they were made from. The confirmed links make components. Then, in
     buckets with more than one component, pairs of different components are compared: by their signatures, and those
     that agree by their texts; in large buckets by their texts at once, in blocks, and only the members outside the largest
-    component with all members. So every two texts that share a band are compared, or already connected.
+    component with all members. So every two texts that share a band are compared, or already connected. Only texts of
+    such pairs are read.
     """
-    members = signed.select("node", "signature").mapInArrow(_banding, "node long, bucket long")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(shared, "bucket"), "members")
-    scores = members.groupBy("node").agg(F.sum("n").alias("score"))
+    # A node has at most one row for each band.
+    scored = members.withColumn("score", F.sum("n").over(W.Window.partitionBy("node")))
     centres = (
-        members.join(scores, "node")
-        .groupBy("bucket")
+        scored.groupBy("bucket")
         .agg(F.max(F.struct("score", F.negative("node").alias("last"))).alias("best"))
         .select("bucket", (-F.col("best.last")).alias("centre"))
     )
     star = members.join(centres, "bucket").where("node != centre")
     star = star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    values = signed.select("node", F.col("signature").alias("value"))
-    likely = _with_values(star, values).mapInArrow(_agreeing, "a long, b long")
-    found = confirmed(likely)
+    likely = stored(_with_values(star, values).mapInArrow(_agreeing, "a long, b long"), "pairs")
+    found = stored(_confirmed(likely, _texts(_ends(likely), nodes, docs)), "links")
 
     names = components(found)
     named = members.join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -342,26 +332,23 @@ def links(
     )
     mixed = mixed.where("parts > 1").select("bucket", F.col("main.component").alias("main"), "n")
     seen = stored(named.drop("n").join(mixed, "bucket"), "mixed")
-    row = F.struct("node", "component", "signature")
-    few = seen.where(F.col("n") <= BLOCK).join(signed.select("node", "signature"), "node")
-    crossing = few.groupBy("bucket").agg(F.collect_list(row).alias("members")).mapInArrow(_crossing, "a long, b long")
-    found = found.union(confirmed(crossing))
-    crowded = seen.where(F.col("n") > BLOCK)
-    return found if crowded.isEmpty() else found.union(_crowded(crowded, values_of, alike))
+    row = F.struct("node", "component", "value")
+    small = seen.where(F.col("n") <= BLOCK).join(values, "node")
+    small = small.groupBy("bucket").agg(F.collect_list(row).alias("members")).select("members")
+    # A pair may share several buckets.
+    crossing = stored(small.mapInArrow(_crossing, "a long, b long").distinct(), "pairs")
+    crowded = stored(seen.where(F.col("n") > BLOCK).select("main", "node", "component").distinct(), "crowded")
+    texts = _texts(_ends(crossing).union(crowded.select("node")), nodes, docs)
+    further = _confirmed(crossing, texts)
+    if not crowded.isEmpty():
+        further = further.union(_crowded(crowded, texts))
+    return found.union(stored(further, "links"))
 
 
-def coarse_classes(texts: DataFrame) -> DataFrame:
-    """Rows (text_key, group) of the distinct texts among rows (row, text_key, signature), none of them without a word.
-
-    Groups are made as the classes are, by the agreement of signatures alone, so each class lies within one group (but for
-    the probabilities above) and a group may have several. No text is read.
-    """
-    nodes = stored(texts.groupBy("text_key").agg(F.min("row").alias("node")), "nodes")
-    rows = texts.select(F.col("row").alias("node"), "signature")
-    signed = stored(rows.join(few(nodes.select("node")), "node", "left_semi"), "signed")
-    values = signed.select("node", F.col("signature").alias("value"))
-    found = links(signed, lambda pairs: stored(pairs, "likely"), lambda wanted: values, _alike_signatures)
-    return nodes.join(components(found), "node", "left").select("text_key", F.coalesce("component", "node").alias("group"))
+def text_classes(members: DataFrame, values: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows (text_key, class) of distinct texts: nodes (node, text_key), and what ``bucket_members`` made of them."""
+    names = components(links(members, values, nodes, docs))
+    return nodes.join(names, "node", "left").select("text_key", F.coalesce("component", "node").alias("class"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -382,11 +369,7 @@ def classes(docs: DataFrame) -> DataFrame:
     worded = rows.where("signature is not null")
     nodes = stored(worded.groupBy("text_key").agg(F.min("row").alias("node")), "nodes")
     signed = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
-    found = links(
-        signed, lambda pairs: _confirmed(pairs, nodes, docs), lambda wanted: _texts(wanted, nodes, docs), _alike_texts
-    )
-    names = components(found)
-    classed = nodes.join(names, "node", "left").select("text_key", F.coalesce("component", "node").alias("class"))
+    classed = text_classes(*bucket_members(signed), nodes, docs)
     placed = rows.select("row", "doc_id", "text_key").join(classed, "text_key", "left")
     placed = placed.withColumn("class", F.coalesce("class", "row"))
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from numprep.llm import textvec
 from numprep.llm.common import few, left_by, ship, stored, text_key, text_of
-from numprep.llm.dart_minhash import classes, coarse_classes, signature_column
+from numprep.llm.dart_minhash import bucket_members, signature_column
+from numprep.llm.dart_minhash import text_classes as classes
 
 #: Words of a window that counts as repeated in its text.
 REPEAT_WINDOW = 8
@@ -143,30 +144,29 @@ def common_lines(measured: DataFrame, docs: DataFrame, max_documents: int = MAX_
     followed through a text that has no such line. Rows are counted with partial sums before each shuffle, so a line that
     a third of all documents have is never in one task.
 
-    The texts are put in groups by their signatures first. A line with texts in enough groups is in as many classes at
-    least; only for the other lines, all texts of their groups are read, and their classes found.
+    A text that shares no bucket with another is a class of its own, so a line of enough such texts is common, without any
+    comparison. Only if other lines are left, classes are found, by the signatures at hand; of the texts, those of likely
+    pairs are read.
     """
-    seen = measured.select("host", "text_key", F.explode("lines.line").alias("line"))
+    seen = measured.select("row", "host", "text_key", F.explode("lines.line").alias("line"))
     texts = seen.groupBy("host", "line", "text_key").agg(F.lit(1).alias("one"))
     often = texts.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > max_documents)
     often = stored(often.select("host", "line"), "often")
-    having = stored(left_by(seen, often, ["host", "line"], "left_semi").distinct(), "having")
-    keys = few(stored(having.select("text_key").distinct(), "keys"))
-    signed = measured.select("row", "text_key", "signature").join(keys, "text_key", "left_semi")
-    groups = stored(coarse_classes(signed), "groups")
-    grouped = stored(_spread(having, groups, "group"), "spread")
-    enough, unclear = grouped.where(F.col("documents") > max_documents), grouped.where(F.col("documents") <= max_documents)
+    having = left_by(seen, often, ["host", "line"], "left_semi")
+    having = stored(having.groupBy("host", "line", "text_key").agg(F.min("row").alias("row")), "having")
+    nodes = stored(having.groupBy("text_key").agg(F.min("row").alias("node")), "nodes")
+    rows = measured.select(F.col("row").alias("node"), "signature")
+    signed = stored(rows.join(few(nodes.select("node")), "node", "left_semi"), "signed")
+    members, values = bucket_members(signed)
+    alone = nodes.join(values.select("node"), "node", "left_anti")
+    enough = having.join(alone, "text_key").groupBy("host", "line").agg(F.count("*").alias("documents"))
+    enough = stored(enough.where(F.col("documents") > max_documents).select("host", "line"), "enough")
+    unclear = stored(left_by(often, enough, ["host", "line"], "left_anti"), "unclear")
     if unclear.isEmpty():
-        return enough.select("host", "line")
-    open_texts = left_by(having, unclear, ["host", "line"], "left_semi")
-    wanted = groups.join(open_texts.join(groups, "text_key").select("group").distinct(), "group", "left_semi")
-    wanted = few(stored(wanted.select(F.col("text_key").alias("doc_id")), "wanted"))
-    keyed = docs.select(text_key().alias("doc_id"), text_of().alias("text"))
-    # Classes are found in several passes over the texts.
-    chosen = stored(keyed.join(wanted, "doc_id", "left_semi"), "chosen", "zstd")
-    copies = classes(chosen).select("text_key", "class_id").distinct()
-    lines = _spread(open_texts, copies, "class_id").where(F.col("documents") > max_documents)
-    return enough.select("host", "line").union(lines.select("host", "line"))
+        return enough
+    copies = stored(classes(members, values, nodes, docs), "classes")
+    lines = _spread(left_by(having, unclear, ["host", "line"], "left_semi"), copies, "class")
+    return enough.union(stored(lines.where(F.col("documents") > max_documents).select("host", "line"), "common"))
 
 
 def _spread(having: DataFrame, parts: DataFrame, part: str) -> DataFrame:

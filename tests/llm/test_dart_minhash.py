@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from numprep.llm import dart_minhash, textvec
+from numprep.llm.components import components
 from numprep.llm.dart_minhash import block_similarities, classes, keep_one, signatures, similarities
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -119,3 +120,47 @@ def test_signatures_estimate_similarity():
     assert np.abs((made[:6] == made[0]).mean(axis=1) - exact[:6]).max() < 0.15
     assert np.allclose(similarities(pa.array(texts[:1] * 8), pa.array(texts)), exact)
     assert np.allclose(block_similarities(pa.array(texts[:2]), pa.array(texts))[0], exact)
+
+
+def test_shortened_signatures_agree_where_whole_ones_do():
+    draw = random.Random(3)
+    base = text(draw, 300)
+    texts = [" ".join(base)] + [" ".join(changed(draw, base, draw.randint(0, 60))) for _ in range(200)]
+    made, _ = signatures(*textvec.utf8(pa.array(texts)))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(made))), pa.array([row.tobytes() for row in made], pa.binary())], names=["node", "signature"]
+    )
+    (short,) = dart_minhash._shortening([batch])
+    values = short.column("value")
+    assert set(map(len, values.to_pylist())) == {128}
+    n = len(made)
+    pairs = pa.RecordBatch.from_arrays(
+        [pa.array([0] * n), pa.array(range(n)), pa.array([values[0].as_py()] * n, pa.binary()), values],
+        names=["a", "b", "left", "right"],
+    )
+    found = {b for x in dart_minhash._agreeing([pairs]) for b in x.column("b").to_pylist()}
+    whole = {i for i in range(n) if (made[0] == made[i]).mean() >= dart_minhash.LEAST_AGREEMENT}
+    assert whole <= found and len(found - whole) <= 5 and 20 < len(whole) < n
+
+
+def test_components_of_chains_stars_and_single_links(spark):
+    draw = random.Random(5)
+    names = list(range(400))
+    draw.shuffle(names)
+    pairs = [(names[i], names[i + 1]) for i in range(120)]
+    pairs += [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 4000 + i) for i in range(50)] + [(7, 7), (4001, 4002)]
+    pairs += [tuple(draw.sample(names[150:], 2)) for _ in range(150)]
+    parent = {}
+
+    def root(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for a, b in pairs:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r.node: r.component for r in components(links).collect()}
+    assert got == {i: root(i) for i in parent}
+    assert components(links.limit(0)).collect() == []

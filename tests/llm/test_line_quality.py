@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 import pytest
 
-from numprep.llm import line_quality, textvec
+from numprep.llm import components, dart_minhash, line_quality, textvec
 from numprep.llm.line_quality import judge_documents, keep_good
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,6 +166,34 @@ def test_a_line_of_texts_with_like_signatures_that_are_no_copies_is_removed(docu
     assert len(got) == 30 and all(r.kept and r.words_left == 300 for r in got)
 
 
+def test_lines_of_near_copies_are_judged_in_one_pass_over_linear_tables(documents, monkeypatch):
+    tables = []
+
+    def stored(df, name, *more, real=line_quality.stored):
+        out = real(df, name, *more)
+        tables.append((name, out))
+        return out
+
+    for module in (line_quality, dart_minhash, components):
+        monkeypatch.setattr(module, "stored", stored)
+    draw = random.Random(29)
+    footer = words(draw, 10)
+    rows = []
+    for k in range(30):  # classes of 12 near copies each
+        base = words(draw, 150).split()
+        for i in range(12):
+            copy = list(base)
+            copy[draw.randrange(150)] = words(draw, 1)
+            rows.append((100 * k + i, f"{' '.join(copy)}\n{footer}", "a" if k < 8 else "b"))
+    got = judge_documents(documents(rows)).collect()
+    assert len(got) == len(rows) and all(r.kept for r in got)
+    assert not [r for r in got if r.words_left != (160 if r.host == "a" else 150)]
+    assert len(tables) <= 30
+    counts = [(name, df.count()) for name, df in tables if "bucket" in df.columns]
+    assert counts and all(n <= 32 * len(rows) for _, n in counts)
+    assert sum(name == "members" for name, _ in counts) == 1
+
+
 def test_empty_table_and_repeated_rows(documents):
     assert judge_documents(documents([])).collect() == []
     assert keep_good(documents([])).collect() == []
