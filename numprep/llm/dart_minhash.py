@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from numprep.llm import textvec
-from numprep.llm.common import WORD, few, ship, stored, text_key, text_of
+from numprep.llm.common import WORD, few, give_back, ship, stored, text_key, text_of
 from numprep.llm.components import components
 
 #: Words of a shingle; a text of fewer words is one shingle.
@@ -121,6 +121,7 @@ def signature_column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def _signing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    give_back()
     for batch in batches:
         data, offsets = textvec.utf8(batch.column(batch.num_columns - 1))
         for a, b in textvec.slices(offsets):
@@ -214,6 +215,7 @@ def _crossing_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
     A node is linked once to each component of the other block: more links would connect nothing more.
     """
+    give_back()
     for batch in batches:
         for row in range(batch.num_rows):
             sides = [batch.column(name)[row].values for name in ("one", "other")]
@@ -244,6 +246,7 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
 
 def _confirming(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, left, right) to the pairs (a, b) whose texts are similar enough."""
+    give_back()
     for batch in batches:
         keep = similarities(batch.column("left"), batch.column("right")) >= SIMILARITY - 1e-12
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from numprep.llm import textvec
-from numprep.llm.common import few, left_by, ship, stored, text_key, text_of
+from numprep.llm.common import few, give_back, left_by, ship, stored, text_key, text_of
 from numprep.llm.dart_minhash import bucket_members, signature_column
 from numprep.llm.dart_minhash import text_classes as classes
 
@@ -91,6 +91,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key columns ..., text) to the key columns, the counts, the signature, and hash and words of each different line."""
+    give_back()
     for batch in batches:
         data, offsets = textvec.utf8(batch.column(batch.num_columns - 1))
         for a, b in textvec.slices(offsets):
@@ -208,6 +209,7 @@ def judge_documents(docs: DataFrame, host: str = "source", max_documents: int =
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, text, removed) to (doc, text) without the lines whose hash is in ``removed``."""
+    give_back()
     for batch in batches:
         texts, removed = batch.column("text"), batch.column("removed")
         out = texts.to_pylist()

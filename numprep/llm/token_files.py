@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import json
 import os
 import zlib
@@ -19,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from numprep.llm import pfor, textvec
-from numprep.llm.common import ship, text_of
+from numprep.llm.common import give_back, ship, text_of
 from numprep.llm.units import FlatMemory, cut_flat
 
 #: Identifier behind the last one of each document.
@@ -167,20 +166,12 @@ class ByteLevelEncoder:
 _encoders: dict[int, ByteLevelEncoder] = {}
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: workers live on from one step to the next, with what the largest of them took."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-    if trim is not None:
-        trim(0)
-
-
 def _segments(model: bytes):
     """Sorted (doc_id, _text) of one part to segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = hash(model)
-        _give_back()
+        give_back()
         if name not in _encoders:
             _encoders.clear()
             _encoders[name] = ByteLevelEncoder(model)
