@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -130,6 +131,78 @@ def test_wanted_keys():
     assert not Wanted(keys[:0]).has(asked).any()
 
 
+def test_marked_keys():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 40, 20_000).astype(np.uint64))
+    marked = module.Marked([keys[:7], keys[7:]])
+    others = np.setdiff1d(rng.integers(0, 1 << 40, 100_000).astype(np.uint64), keys)
+    assert marked.has(keys).all() and marked.has(others).mean() < 0.01 and len(marked.marks) <= 3 * len(keys) + 9
+    assert not module.Marked([]).has(others).any()
+
+
+def test_a_round_sends_marked_phrases_of_its_keys_only():
+    batch = next(_batches(_docs(11)))
+
+    def rows(candidates, share):
+        found = Counter()
+        for part in module._occurrences(4, 1, candidates, share)(iter([batch])):
+            for lang, phrase, _, f, key in zip(*(c.to_pylist() for c in part.columns)):
+                assert share is None or share[0] <= key < share[1]
+                found[lang, phrase, key] += f
+        return found
+
+    every = rows(None, None)
+    first, second = (rows(None, x) for x in ((0, 1 << 31), (1 << 31, 1 << 32)))
+    assert first and second and not first.keys() & second.keys() and first + second == every
+    keys = np.array(sorted({key for (_, _, key), f in every.items() if f >= 30}), np.uint64)
+
+    class Sent:
+        value = module.Marked([keys])
+
+    marked = rows(Sent, None)
+    assert all(marked[k] == f for k, f in every.items() if f >= 30) and len(marked) < len(every) / 10
+
+
+def test_numbers_of_phrases_beyond_64_bits():
+    exact = np.array([5, 1, 5, 1, 5, 2, 5, 1, 5, 1])
+    numbers = module._phrase_numbers(exact, np.arange(7), 4, 1 << 30)
+    windows = [tuple(exact[i : i + 4]) for i in range(7)]
+    assert len(set(zip(numbers.tolist(), windows))) == len(set(numbers.tolist())) == len(set(windows)) == 6
+
+
+@pytest.mark.parametrize(("marked", "rounds"), [(60, 12), (1, 3)])
+def test_candidates_counted_in_rounds(spark, monkeypatch, marked, rounds):
+    for name, value in (("BROADCAST_ROWS", 4), ("MARKED_ROWS", marked), ("ROUNDS", rounds), ("WORDS_PER_RANGE", 1000)):
+        monkeypatch.setattr(module, name, value)
+    docs = _docs(13)
+    expected = {k: a for k, a in _counts(docs)[0].items() if a >= 12}
+    assert len(expected) > 60
+    phrases, _ = frequent_phrases(_frame(spark, docs), support=12)
+    found = [((r.lang, tuple(r.phrase.split(" "))), r.f) for r in phrases.collect()]
+    assert len(found) == len(expected) and dict(found) == expected
+
+
+def _shuffled(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getPath(): f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_what_was_shuffled_is_removed(spark, monkeypatch, sent):
+    monkeypatch.setattr(module, "BROADCAST_ROWS", sent)
+    setting = spark.conf.get(module._CLEANUP, None)
+    before = _shuffled(spark)
+    frequent_phrases(_frame(spark, _docs(15, 1000)), support=12)
+    for _ in range(50):
+        left = sum(size for path, size in _shuffled(spark).items() if path not in before)
+        if left < 10_000:
+            break
+        time.sleep(0.2)
+    assert left < 10_000  # words of shards; keys and phrases take over 100,000
+    assert spark.conf.get(module._CLEANUP, None) == setting
+
+
 def test_nothing_to_find(spark):
     assert collocations(_frame(spark, [("x", "en")]).where("false")).collect() == []
     assert collocations(_frame(spark, [(None, None), ("", "en")])).collect() == []
